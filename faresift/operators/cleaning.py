@@ -123,17 +123,24 @@ def transform_trips(
     )
 
 
-def transform_many(df: DataFrame, processing_time: datetime | str | None = None) -> tuple[DataFrame, DataFrame]:
+def transform_many(
+    df: DataFrame, periods: DataFrame, processing_time: datetime | str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Clean rows of any number of months in one scan.
 
-    ``df`` carries ``source_file``, ``reporting_year`` and ``reporting_month`` next to the trip columns.
+    ``df`` carries ``source_file`` next to the trip columns; ``periods`` has one row per source
+    file with its ``reporting_year`` and ``reporting_month``. It is as small as the list of
+    monthly files, so it is broadcast and no trip is shuffled. A trip of an unlisted file fails the query.
     """
     bounds = period_bounds(F.col("reporting_year"), F.col("reporting_month"))
+    lookup = periods.select("source_file", *[c.alias(n) for n, c in bounds.items()])
+    unlisted = F.raise_error(F.concat(F.lit("No reporting period for "), F.col("source_file"))).cast("timestamp_ntz")
+    dated = df.join(F.broadcast(lookup), "source_file", "left")
     return split_trips(
-        df,
-        bounds["reporting_start"],
-        bounds["reporting_end"],
-        bounds["trusted_start"],
+        dated,
+        F.col("reporting_start"),
+        F.col("reporting_end"),
+        F.coalesce(F.col("trusted_start"), unlisted),
         resolve_processing_time(df.sparkSession, processing_time),
     )
 

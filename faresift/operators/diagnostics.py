@@ -141,7 +141,7 @@ def reconcile_by_vendor(df: DataFrame) -> DataFrame:
         F.max(F.abs(residual)).alias("maximum_absolute_residual"),
     )
     medians = ranked_values(
-        counts.where(residual.isNotNull()).withColumnRenamed("residual", "value"),
+        counts.withColumnRenamed("residual", "value"),
         ["VendorID"],
         F.array(F.lit(0.5)),
         bounded=False,

@@ -358,34 +358,29 @@ def histogram(
     that are left, the last bin is closed, and empty bins are listed with 0.
     """
     x = F.col(column).cast("double")
-    wanted = {p for p in (low_quantile, high_quantile) if p is not None}
-    limits = {}
-    if wanted:
-        points = quantiles(df.select(x.alias(column)), {column: sorted(wanted)})
-        limits = points.agg(
-            F.struct(
-                *[
-                    F.max(F.when(F.col("probability") == float(p), F.col("quantile"))).alias(percentile_name(p))
-                    for p in sorted(wanted)
-                ]
-            )
-        ).scalar()
-    bound = lambda value, p: limits[percentile_name(p)] if p is not None else F.lit(float(value))
     kept = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    if low is not None or low_quantile is not None:
-        kept = kept.where(F.col("x") >= bound(low, low_quantile))
-    if high is not None or high_quantile is not None:
-        kept = kept.where(F.col("x") <= bound(high, high_quantile))
+    wanted = sorted({float(p) for p in (low_quantile, high_quantile) if p is not None})
+    bounds = [
+        F.col("x") >= low if low is not None else None,
+        F.col("x") <= high if high is not None else None,
+        F.col("x") >= F.col(percentile_name(low_quantile)) if low_quantile is not None else None,
+        F.col("x") <= F.col(percentile_name(high_quantile)) if high_quantile is not None else None,
+    ]
+    inside = all_of([b for b in bounds if b is not None] or [F.lit(True)])
+    if wanted:
+        # The limits and the span below are single rows, so each meets every value by a lookup in one row.
+        at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(percentile_name(p))
+        kept = kept.join(F.broadcast(quantiles(kept, {"x": wanted}).agg(*map(at, wanted))), inside).select("x")
+    else:
+        kept = kept.where(inside)
 
     # A single value gets a bin range of width 1 around it, no value at all the range 0..1.
     least, most = F.min("x"), F.max("x")
-    spread = kept.agg(
-        F.struct(
-            F.coalesce(F.when(least == most, least - 0.5).otherwise(least), F.lit(0.0)).alias("first"),
-            F.coalesce(F.when(least == most, most + 0.5).otherwise(most), F.lit(1.0)).alias("last"),
-        )
-    ).scalar()
-    first, last, n = spread["first"], spread["last"], F.lit(float(bins))
+    span = kept.agg(
+        F.coalesce(F.when(least == most, least - 0.5).otherwise(least), F.lit(0.0)).alias("first"),
+        F.coalesce(F.when(least == most, most + 0.5).otherwise(most), F.lit(1.0)).alias("last"),
+    )
+    first, last, n = F.col("first"), F.col("last"), F.lit(float(bins))
     # The last edge is the largest value itself, not the first edge plus so many steps.
     edge = lambda i: F.when(i == bins, last).otherwise(i * ((last - first) / n) + first)
     # The scaled position may be off by one bin at an edge, so it is checked against the edges.
@@ -396,11 +391,14 @@ def histogram(
         .otherwise(F.col("guess"))
     )
     counted = (
-        kept.withColumn("guess", guess)
+        df.select(x.alias("x"))
+        .join(F.broadcast(span), F.col("x").between(first, last))
+        .withColumn("guess", guess)
         .groupBy(settled.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")))
+    every = span.select("first", "last", numbers.alias("bin"))
     return every.join(F.broadcast(counted), "bin", "left").select(
         "bin",
         edge(F.col("bin")).alias("lower"),

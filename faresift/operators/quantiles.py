@@ -25,7 +25,9 @@ BUCKET_OFFSET = 4_000_000
 
 def _log_bucket(value: Column) -> Column:
     size = F.floor(F.least(F.ln(F.abs(value)), F.lit(710.0)) * F.lit(BUCKETS_PER_E)) + F.lit(BUCKET_OFFSET)
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
+    # A bucket for missing values as well, where they weigh nothing: a nullable bucket would make
+    # the planner filter on it, down to the scan, and evaluate it several times per row.
+    return F.coalesce(F.when(value > 0, size).when(value < 0, -size), F.lit(0).cast("bigint"))
 
 
 def _keep_wanted(counts: DataFrame, group: list[str], cell: str) -> DataFrame:
@@ -45,13 +47,14 @@ def _inside(wanted: Column, before: Column, n: Column) -> Column:
 
 
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value) rows of several numeric columns, missing values left out."""
-    if len(columns) == 1:
-        pairs = df.select(F.lit(columns[0]).alias("column"), F.col(columns[0]).cast("double").alias("value"))
-    else:
-        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-        pairs = df.select(F.inline(F.array(*cells)))
-    return pairs.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    """(column, value) rows of numeric columns; NaN becomes null."""
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value")
+        )
+        for c in columns
+    ]
+    return df.select(F.inline(F.array(*cells)))
 
 
 def ranked_values(
@@ -65,9 +68,13 @@ def ranked_values(
 
     ``probabilities`` is an array column over the keys. ``bounded`` states that the number of
     groups has a fixed small bound, which is what permits the broadcast of the wanted buckets.
-    ``weight`` names a column with the number of rows a value stands for.
+    ``weight`` names a column with the number of rows a value stands for. Null values count for nothing.
     """
-    n = (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n")
+    if weight:
+        known = F.sum(F.when(F.col("value").isNotNull(), F.col(weight)))
+        n = F.coalesce(known, F.lit(0).cast("bigint")).alias("_n")
+    else:
+        n = F.count("value").alias("_n")
     hint = F.broadcast if bounded else (lambda d: d)
     rows = values.withColumn("_bucket", _log_bucket(F.col("value")))
 

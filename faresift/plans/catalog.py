@@ -220,8 +220,9 @@ def transform_trips(spark, sf_dir):
 
 def transform_many(spark, sf_dir):
     """Both halves of three months cleaned in one scan, each month by its own bounds."""
-    raw = source.with_reporting_period(source.read_trips(spark, landed_months(spark, sf_dir)))
-    processed, rejected = cleaning.transform_many(raw, PROCESSING_TIME)
+    raw = source.read_trips(spark, landed_months(spark, sf_dir))
+    periods = source.with_reporting_period(raw.select("source_file").distinct())
+    processed, rejected = cleaning.transform_many(raw, periods, PROCESSING_TIME)
     shown = [*TRIP_KEY, "source_file", "is_outside_reporting_month", "rejection_reason"]
     return processed.unionByName(rejected, allowMissingColumns=True).select(*shown)
 

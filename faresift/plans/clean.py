@@ -16,8 +16,8 @@ from faresift.sources.trips import (
     read_month,
     read_months,
     reporting_period,
+    reporting_periods,
     require_source,
-    with_reporting_period,
 )
 
 
@@ -70,15 +70,14 @@ def clean_months(
     """
     paths = month_paths(spark, folder)
     sources = [p.rsplit("/", 1)[-1] for p in paths]
-    for source in sources:
-        reporting_period(source)
+    periods = reporting_periods(spark, sources)
     raw = read_months(spark, paths)
     codes = [f"{r['column']} {r['value']}" for r in unknown_codes(raw).limit(1000).collect()]
     if codes:
         raise ValueError("Source validation failed, invalid values: " + ", ".join(sorted(codes)))
 
     now = processing_time or session_clock(spark)
-    processed, rejected = transform_many(with_reporting_period(raw), now)
+    processed, rejected = transform_many(raw, periods, now)
     staged = sinks.staging_path(out)
     try:
         sinks.stage_half(processed, f"{staged}/processed")
@@ -96,11 +95,7 @@ def clean_months(
         for half, like in zip(sinks.HALVES, (processed, rejected)):
             sinks.promote_half(spark, f"{staged}/{half}", out, half, like, sources)
         result = spark.createDataFrame(rows, schema)
-        for source in sources:
-            one = [r for r in rows if r["source_file"] == source]
-            sinks.write_quality(
-                spark.createDataFrame(one, schema).drop("source_file"), sinks.quality_path(out, source)
-            )
+        sinks.write_quality_reports(result, out, sources)
     finally:
         sinks.drop_staging(spark, staged)
     return result

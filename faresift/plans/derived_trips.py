@@ -7,11 +7,14 @@ of fault the rules look for.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresift import schema as S
-from faresift.session import work_dir
+from faresift.session import hadoop_path, work_dir, work_root
+from faresift.sources.trips import read_month
 
 PERIOD = (2024, 1)
 PROCESSING_TIME = "2025-01-01 00:00:00"
@@ -77,28 +80,56 @@ def numbered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered_trips(spark, sf_dir).drop("k")
+    """The trips as a Parquet scan of the landed month, so that filters and columns reach the files."""
+    return read_month(spark, landed_month(spark, sf_dir))
+
+
+_known: dict[tuple[str, str], str] = {}
+
 
+def _land(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
+    """Folder with a table derived from ``events``, written once per state of that table.
 
-_landed: dict[tuple[str, str, str], str] = {}
+    It lies in the shared work folder under a name made of what it is derived from, so later
+    sessions read the same copy. It is written aside and renamed when complete: a run that
+    dies on the way leaves nothing that could be taken for the table.
+    """
+    events, fs = hadoop_path(spark, f"{sf_dir}/events.parquet")
+    state = fs.getContentSummary(events)
+    changed = fs.getFileStatus(events).getModificationTime()
+    basis = (fs.makeQualified(events).toString(), state.getLength(), state.getFileCount(), changed, kind, _SOURCE, _TRIPS)
+    name = hashlib.sha256(repr(basis).encode()).hexdigest()[:24]
+    folder = f"{work_root(spark)}/faresift-trips-{name}"
+    target, fs = hadoop_path(spark, folder)
+    if not fs.exists(target):
+        aside = work_dir(spark)
+        write(aside)
+        source, _ = hadoop_path(spark, aside)
+        # Another session may have been faster; its copy is the same.
+        if not fs.rename(source, target) and not fs.exists(target):
+            raise OSError(f"Could not land {folder}")
+    return folder
 
 
-def _land(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _landed:
-        folder = work_dir(spark)
-        write(folder)
-        _landed[key] = folder
-    return _landed[key]
+def _landed(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
+    key = (f"{spark.sparkContext.applicationId} {sf_dir}", kind)
+    if key not in _known:
+        _known[key] = _land(spark, sf_dir, kind, write)
+    return _known[key]
 
 
 def landed_month(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the trips written as one month (a Parquet folder in the shared work folder)."""
-    write = lambda folder: trips(spark, sf_dir).write.parquet(f"{folder}/{MONTH_FILE}")
-    return f"{_land(spark, sf_dir, 'month', write)}/{MONTH_FILE}"
+    """Path of all trips as one month: a Parquet folder named like a monthly file."""
+    write = lambda folder: numbered_trips(spark, sf_dir).drop("k").write.parquet(f"{folder}/{MONTH_FILE}")
+    return f"{_landed(spark, sf_dir, 'month', write)}/{MONTH_FILE}"
 
 
-VENDOR_MONTHS = {1: "yellow_tripdata_2024-01.parquet", 2: "yellow_tripdata_2024-02.parquet", 6: "yellow_tripdata_2024-03.parquet"}
+# All trips of one vendor each.
+VENDOR_MONTHS = {
+    1: "yellow_tripdata_2024-01.parquet",
+    2: "yellow_tripdata_2024-02.parquet",
+    6: "yellow_tripdata_2024-03.parquet",
+}
 
 
 def landed_months(spark: SparkSession, sf_dir: str) -> str:
@@ -108,4 +139,4 @@ def landed_months(spark: SparkSession, sf_dir: str) -> str:
         for vendor, name in VENDOR_MONTHS.items():
             trips(spark, sf_dir).where(F.col("VendorID") == vendor).write.parquet(f"{folder}/{name}")
 
-    return _land(spark, sf_dir, "months", write)
+    return _landed(spark, sf_dir, "months", write)

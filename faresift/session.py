@@ -28,8 +28,8 @@ def get_session(app_name: str = "faresift", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder path under the shared scratch folder that the cluster names.
+def work_root(spark: SparkSession) -> str:
+    """The shared scratch folder that the cluster names.
 
     Only a session without ``spark.checkpoint.dir`` on a local master gets a folder on this machine.
     """
@@ -39,4 +39,15 @@ def work_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="faresift-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/faresift-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def work_dir(spark: SparkSession) -> str:
+    """A new folder path under the shared scratch folder."""
+    return f"{work_root(spark)}/faresift-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(Path, FileSystem) of Hadoop for a path in any storage Spark can reach."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

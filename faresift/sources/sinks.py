@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faresift import schema as S
-from faresift.sources.trips import _path
+from faresift.session import hadoop_path
 
 HALVES = ("processed", "rejected")
 PROMOTERS = 16
@@ -48,9 +48,9 @@ def stage_half(half: DataFrame, path: str) -> None:
 
 def promote(spark: SparkSession, staged: str, target: str) -> None:
     """Put a staged folder in place of the target, keeping the old one until the new one is there."""
-    new, fs = _path(spark, staged)
-    place, _ = _path(spark, target)
-    old, _ = _path(spark, f"{target}._old")
+    new, fs = hadoop_path(spark, staged)
+    place, _ = hadoop_path(spark, target)
+    old, _ = hadoop_path(spark, f"{target}._old")
     fs.mkdirs(place.getParent())
     if fs.exists(place):
         fs.delete(old, True)
@@ -68,8 +68,8 @@ def promote_half(spark: SparkSession, staged: str, out: str, half: str, like: Da
     """
     def one(source: str) -> None:
         folder = f"{staged}/_source={_escaped(spark, source)}"
-        hadoop_path, fs = _path(spark, folder)
-        if not fs.exists(hadoop_path):
+        place, fs = hadoop_path(spark, folder)
+        if not fs.exists(place):
             spark.createDataFrame([], like.schema).coalesce(1).write.mode("overwrite").parquet(folder)
         promote(spark, folder, output_path(out, half, source))
 
@@ -82,8 +82,8 @@ def _escaped(spark: SparkSession, value: str) -> str:
 
 
 def drop_staging(spark: SparkSession, staged: str) -> None:
-    hadoop_path, fs = _path(spark, staged)
-    fs.delete(hadoop_path, True)
+    place, fs = hadoop_path(spark, staged)
+    fs.delete(place, True)
 
 
 def write_outputs(processed: DataFrame, rejected: DataFrame, out: str, source_file: str) -> dict[str, str]:
@@ -102,3 +102,14 @@ def write_quality(summary: DataFrame, path: str) -> None:
     """Write a quality report (a fixed number of rows) as one CSV part with a header, metric first."""
     columns = ["metric", *[c for c in summary.columns if c != "metric"]]
     summary.select(*columns).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_quality_reports(summaries: DataFrame, out: str, sources: list[str]) -> None:
+    """Write the quality report of each source from a frame that holds them all."""
+
+    def one(source: str) -> None:
+        report = summaries.where(F.col("source_file") == source).drop("source_file")
+        write_quality(report, quality_path(out, source))
+
+    with ThreadPoolExecutor(PROMOTERS) as pool:
+        list(pool.map(one, sources))

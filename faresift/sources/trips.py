@@ -17,27 +17,23 @@ from pyspark.sql import types as T
 from faresift import schema as S
 from faresift.operators.cleaning import check_month
 from faresift.operators.gate import schema_violations
+from faresift.session import hadoop_path
 
 FOOTER_READERS = 16
 
 
-def _path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-
 def require_source(spark: SparkSession, path: str) -> None:
     """Raise if the path does not exist or holds no bytes."""
-    hadoop_path, fs = _path(spark, path)
-    if not fs.exists(hadoop_path):
+    place, fs = hadoop_path(spark, path)
+    if not fs.exists(place):
         raise FileNotFoundError(f"Source not found: {path}")
-    if fs.getContentSummary(hadoop_path).getLength() == 0:
+    if fs.getContentSummary(place).getLength() == 0:
         raise ValueError(f"Source is empty: {path}")
 
 
 def month_paths(spark: SparkSession, folder: str) -> list[str]:
     """Paths of all months in a folder in name order; none is an error."""
-    pattern, fs = _path(spark, f"{folder.rstrip('/')}/{S.FILE_PREFIX}*.parquet")
+    pattern, fs = hadoop_path(spark, f"{folder.rstrip('/')}/{S.FILE_PREFIX}*.parquet")
     found = sorted(status.getPath().toString() for status in fs.globStatus(pattern) or [])
     if not found:
         raise FileNotFoundError(f"No {S.FILE_PREFIX}*.parquet in {folder}")
@@ -46,7 +42,8 @@ def month_paths(spark: SparkSession, folder: str) -> list[str]:
 
 def source_name(path: Column) -> Column:
     """Name of the month a file belongs to: its folder if that is named like Parquet, else itself."""
-    return F.regexp_extract(path, r"([^/]+\.parquet)(?:/[^/]*)?$", 1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(folder.endswith(".parquet"), folder).otherwise(F.substring_index(path, "/", -1))
 
 
 def with_lineage(df: DataFrame, source_file: str | None = None) -> DataFrame:
@@ -66,21 +63,29 @@ def with_reporting_period(df: DataFrame, strict: bool = True) -> DataFrame:
     """Add ``reporting_year`` and ``reporting_month`` read off ``source_file``.
 
     The whole name must match. A row from another file fails the query if ``strict``, and
-    otherwise has nulls, to be listed as a violation.
+    otherwise has nulls, to be listed as a violation. Meant for small frames with a row per
+    file; rows of trips get their period by a lookup of these (see ``transform_many``).
     """
     name = F.col("source_file")
-    part = lambda i: F.regexp_extract(name, S.FILE_NAME_REGEX, i)
+    part = lambda i: F.nullif(F.regexp_extract(name, S.FILE_NAME_REGEX, i), F.lit("")).cast("int")
+    month = part(2)
+    fits = F.coalesce(month.between(1, 12), F.lit(False))
     unfit = F.raise_error(F.concat(F.lit("Expected a name like yellow_tripdata_2024-01.parquet, got: "), name))
     otherwise = unfit.cast("int") if strict else F.lit(None).cast("int")
-    fits = F.coalesce(name.rlike(S.FILE_NAME_REGEX), F.lit(False)) & part(2).between("01", "12")
     return df.withColumns(
         {
-            "reporting_year": F.when(fits, part(1).cast("int")).otherwise(otherwise),
-            "reporting_month": F.when(fits, part(2).cast("int")).otherwise(otherwise),
+            "reporting_year": F.when(fits, part(1)).otherwise(otherwise),
+            "reporting_month": F.when(fits, month).otherwise(otherwise),
         }
     )
 
 
+def reporting_periods(spark: SparkSession, names: list[str]) -> DataFrame:
+    """(source_file, reporting_year, reporting_month) of file names; a name that does not fit is an error."""
+    rows = [(name, *reporting_period(name)) for name in names]
+    return spark.createDataFrame(rows, "source_file string, reporting_year int, reporting_month int")
+
+
 def reporting_period(file_name: str) -> tuple[int, int]:
     """Year and month of one file name."""
     match = re.fullmatch(S.FILE_NAME_REGEX, file_name)
