@@ -16,6 +16,8 @@ SETTINGS = {
     # A scan task usually sees one or two source files, so it can keep a writer open for each
     # and need not sort its rows by target folder first.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # Plans here have hundreds of column expressions: do not look up the caller for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

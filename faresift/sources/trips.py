@@ -161,10 +161,11 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
 def file_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Per source: files, bytes, MB of 1024² bytes, rows, and whether it is empty.
 
-    Sizes come from the listing, rows from footers; no data column is read. Files without a
-    byte are listed and skipped by the row count.
+    Sizes come from the listing, rows from footers; no data column is read. Spark passes over
+    files without a byte, so the sources asked for are listed by name and the rest is joined on.
     """
     name = source_name(F.col("_metadata.file_path")).alias("source_file")
+    named = spark.createDataFrame([(p.rstrip("/").rsplit("/", 1)[-1],) for p in paths], "source_file string")
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -173,11 +174,10 @@ def file_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("size_bytes"))
     )
     rows = spark.read.schema(S.TRIP_SCHEMA).parquet(*paths).groupBy(name).agg(F.count(F.lit(1)).alias("rows"))
-    return listed.join(rows, "source_file", "left").select(
-        "source_file",
-        "files",
-        "size_bytes",
-        (F.col("size_bytes") / F.lit(1024.0 * 1024.0)).alias("size_mb"),
-        F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
-        (F.col("size_bytes") == 0).alias("is_empty"),
+    none = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return (
+        named.join(listed, "source_file", "left")
+        .join(rows, "source_file", "left")
+        .select("source_file", none("files"), none("size_bytes"), none("rows"))
+        .withColumns({"size_mb": F.col("size_bytes") / F.lit(1024.0 * 1024.0), "is_empty": F.col("size_bytes") == 0})
     )
