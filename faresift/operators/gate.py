@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faresift import schema as S
 from faresift.functions.scalars import any_of
 
+# Spark pushes a rank limit below the shuffle up to 1000 rows per group.
+MAX_LISTED = 999
 VIOLATION_SCHEMA = "rule string, column string, detail string"
 
 
@@ -133,23 +135,42 @@ def observed_codes(df: DataFrame, domains: dict[str, list]) -> DataFrame:
     )
 
 
-def _codes(condition: Column | None = None) -> Column:
-    value = F.col("code") if condition is None else F.when(condition, F.col("code"))
+def _listable(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Distinct values of each group, but for one more than may be listed; that one fails the query.
+
+    A list in a cell is built by one task, so its length is bounded here. The rank limit is applied
+    before the shuffle, so no task sees more than that many values of a group either.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
+    message = f"More than {MAX_LISTED} distinct values to list; use observed_codes or value_counts instead"
+    return (
+        counted.withColumn("_rank", rank)
+        .where(F.col("_rank") <= MAX_LISTED + 1)
+        .withColumn(value, F.when(F.col("_rank") <= MAX_LISTED, F.col(value)).otherwise(F.raise_error(F.lit(message))))
+        .drop("_rank")
+    )
+
+
+def _sorted_list(value: Column) -> Column:
     return F.array_sort(F.collect_list(value))
 
 
 def domain_report(df: DataFrame, domains: dict[str, list] | None = None) -> DataFrame:
     """Per code column: codes observed, those without documentation, and whether all are documented.
 
-    The lists are folded from distinct codes. For a column that may hold free values use
-    ``observed_codes``, which gives the same content one row per code.
+    Meant for code columns: more than ``MAX_LISTED`` distinct codes in one are an error.
+    ``observed_codes`` gives the same content one row per code, for any number of codes.
     """
     domains = domains or {c: v for c, v in S.CODE_DOMAINS.items() if c != "store_and_fwd_flag"}
     names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in domains])).alias("column"))
+    code = F.col("code")
     folded = (
-        observed_codes(df, domains)
+        _listable(observed_codes(df, domains), ["column"], "code")
         .groupBy("column")
-        .agg(_codes().alias("observed"), _codes(~F.col("documented")).alias("unknown_observed"))
+        .agg(
+            _sorted_list(code).alias("observed"),
+            _sorted_list(F.when(~F.col("documented"), code)).alias("unknown_observed"),
+        )
     )
     none = F.array().cast("array<bigint>")
     return (
@@ -160,11 +181,18 @@ def domain_report(df: DataFrame, domains: dict[str, list] | None = None) -> Data
 
 
 def string_domain_report(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
-    """One row: distinct values, values outside ``allowed``, and rows without a value."""
+    """One row: distinct values, values outside ``allowed``, and rows without a value.
+
+    More than ``MAX_LISTED`` distinct values are an error, as in ``domain_report``.
+    """
+    value = F.col("value")
     counted = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    outside = ~F.col("value").isin(allowed)
-    return counted.agg(
-        F.array_sort(F.collect_list("value")).alias("non_null_values"),
-        F.array_sort(F.collect_list(F.when(outside, F.col("value")))).alias("outside_allowed"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0).cast("bigint")).alias("missing_rows"),
+    missing = counted.where(value.isNull()).agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint"))).scalar()
+    return (
+        _listable(counted.where(value.isNotNull()).select(F.lit(column).alias("column"), "value"), ["column"], "value")
+        .agg(
+            _sorted_list(value).alias("non_null_values"),
+            _sorted_list(F.when(~value.isin(allowed), value)).alias("outside_allowed"),
+        )
+        .withColumn("missing_rows", missing)
     )

@@ -30,9 +30,14 @@ def dataset_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, position: list[str | Column], n: int = 5) -> DataFrame:
-    """First ``n`` rows by position: each task keeps only its own first ``n``."""
-    return df.orderBy(*position).limit(n)
+def preview(df: DataFrame, position: str, n: int = 5) -> DataFrame:
+    """First ``n`` rows by a position column.
+
+    The position alone is read to find the n-th place; that bound then reaches the scan as a
+    filter, so the other columns are read only where the first rows lie.
+    """
+    first = df.select(position).orderBy(position).limit(n)
+    return df.where(F.col(position) <= first.agg(F.max(position)).scalar()).orderBy(position).limit(n)
 
 
 def missing_counts(df: DataFrame) -> DataFrame:

@@ -268,7 +268,7 @@ def describe_events(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    return profiling.preview(numbered_trips(spark, sf_dir), ["k"]).drop("k")
+    return profiling.preview(numbered_trips(spark, sf_dir), "k").drop("k")
 
 
 def passenger_value_counts(spark, sf_dir):

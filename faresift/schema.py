@@ -39,7 +39,7 @@ CODE_DOMAINS = {
     "VendorID": [1, 2, 6, 7],
     "RatecodeID": [1, 2, 3, 4, 5, 6, 99],
     "payment_type": [0, 1, 2, 3, 4, 5, 6],
-    "store_and_fwd_flag": ["N", "Y"],
+    "store_and_fwd_flag": ["Y", "N"],
 }
 PAYMENT_LABELS = {
     0: "Flex Fare",
@@ -101,7 +101,19 @@ AMOUNT_PARTS = [
     "congestion_surcharge",
     "Airport_fee",
 ]
-METRIC_COLUMNS = ["passenger_count", "trip_distance"] + AMOUNT_PARTS[:6] + ["total_amount"] + AMOUNT_PARTS[6:]
+METRIC_COLUMNS = [
+    "passenger_count",
+    "trip_distance",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "total_amount",
+    "congestion_surcharge",
+    "Airport_fee",
+]
 IDENTITY_COLUMNS = [
     "VendorID",
     PICKUP,

@@ -96,3 +96,15 @@ def test_percentages_are_half_even_on_the_float_and_null_without_rows(trip):
     assert found["has_zero_distance"] == 12.5 and found["raw_rows"] == 100.0
     empty = halves(trip({}).where(F.lit(False)))
     assert {r["percentage_of_raw"] for r in quality.quality_summary(*empty, 0).collect()} == {None}
+
+
+def test_free_values_are_refused_as_a_list_but_not_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(gate, "MAX_LISTED", 20)
+    df = spark.range(21).select(F.col("id").alias("code"), F.col("id").cast("string").alias("text"))
+    with pytest.raises(Exception, match="More than 20 distinct values"):
+        gate.domain_report(df, {"code": [1]}).collect()
+    with pytest.raises(Exception, match="More than 20 distinct values"):
+        gate.string_domain_report(df, "text", ["1"]).collect()
+    assert gate.observed_codes(df, {"code": [1]}).count() == 21
+    enough = gate.domain_report(df.where("code < 20"), {"code": [1]}).first()
+    assert enough["observed"] == list(range(20)) and len(enough["unknown_observed"]) == 19
