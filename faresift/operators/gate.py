@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faresift import schema as S
-from faresift.functions.scalars import any_of
+from faresift.functions.scalars import any_of, union_all
 
 # Spark pushes a rank limit below the shuffle up to 1000 rows per group.
 MAX_LISTED = 999
@@ -86,7 +84,7 @@ def violations(df: DataFrame) -> DataFrame:
         parts.append(
             unknown_codes(df).select(F.lit("unknown_code").alias("rule"), "column", F.col("value").alias("detail"))
         )
-    return reduce(DataFrame.unionAll, parts)
+    return union_all(parts)
 
 
 def validate_source(df: DataFrame, codes_shown: int = 1000) -> None:

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faresift import schema as S
-from faresift.functions.scalars import all_of, half_even, holds, in_bin, minutes_between, percent_of, speed_mph
+from faresift.functions.scalars import (
+    all_of,
+    in_bin,
+    minutes_between,
+    percent_of,
+    seconds_between,
+    speed_mph,
+    union_all,
+)
 from faresift.operators.metrics import count_metrics, true_rows, wide_to_rows
 from faresift.operators.quantiles import quantiles
 
@@ -75,7 +81,7 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
                 F.count(F.lit(1)).alias("unique_including_na"),
             )
         )
-    return reduce(DataFrame.unionAll, profiles)
+    return union_all(profiles)
 
 
 def _sketched_profile(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -306,7 +312,7 @@ def duration_checks(df: DataFrame) -> DataFrame:
 
 
 def _hours() -> Column:
-    return F.timestamp_diff("MICROSECOND", F.col(S.PICKUP), F.col(S.DROPOFF)) / F.lit(1e6) / F.lit(3600.0)
+    return seconds_between(F.col(S.PICKUP), F.col(S.DROPOFF)) / F.lit(3600.0)
 
 
 def duration_hours_checks(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ measure such as speed. Here the wanted ranks are narrowed down in two passes ins
 1. count rows per fine logarithmic bucket of the value and add the counts up, which tells the
    bucket of each wanted rank. Doubles have a bounded number of buckets, so this stays small;
 2. count the distinct values of those buckets only, and read off the values at the ranks.
+   Buckets in which pass 1 met a single value are settled already.
 
 Pass 1 ships one short record per bucket and task. In pass 2 a broadcast of at most two buckets
 per requested quantile drops all other rows in the scan, and equal values are counted before
@@ -17,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from faresift.functions.scalars import union_all
+
 # Buckets per factor of e: each spans 0.024 % of its value. The offset keeps the bucket of
 # every positive double positive, so that negative values can mirror them.
 BUCKETS_PER_E = 4096.0
@@ -47,13 +50,11 @@ def _inside(wanted: Column, before: Column, n: Column) -> Column:
 
 
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value) rows of numeric columns; NaN becomes null."""
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value")
-        )
-        for c in columns
-    ]
+    """(slot of the column in the list, value) rows of numeric columns; NaN becomes null."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value")
+    if len(columns) == 1:
+        return df.select(F.lit(0).alias("series"), number(columns[0]))
+    cells = [F.struct(F.lit(i).alias("series"), number(c)) for i, c in enumerate(columns)]
     return df.select(F.inline(F.array(*cells)))
 
 
@@ -92,15 +93,20 @@ def ranked_values(
     )
     buckets = (
         rows.groupBy(*keys, "_bucket")
-        .agg(n)
+        .agg(n, F.min("value").alias("_min"), F.max("value").alias("_max"))
         .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
         .withColumn("_wanted", slots)
     )
     hot = _keep_wanted(buckets, keys, "_bucket")
 
+    # A bucket with one distinct value needs no second look. The others are looked up by their key
+    # alone and get their ranks back after the count, to keep the grouping key of each row short.
     in_bucket = [*keys, "_bucket"]
-    exact = rows.join(hint(hot), in_bucket).groupBy(*in_bucket, "_total", "_wanted", "value").agg(n)
-    found = _keep_wanted(exact, in_bucket, "value").select(*keys, "_total", "value", F.inline("_wanted"))
+    settled = hot.where(F.col("_min") == F.col("_max")).withColumnRenamed("_min", "value")
+    open_ = hot.where(F.col("_min") < F.col("_max")).drop("_min", "_max")
+    exact = rows.join(hint(open_.select(*in_bucket)), in_bucket).groupBy(*in_bucket, "value").agg(n)
+    ranked = _keep_wanted(exact.join(hint(open_), in_bucket), in_bucket, "value")
+    found = union_all([f.select(*keys, "_total", "value", F.inline("_wanted")) for f in (settled, ranked)])
 
     at = lambda side: F.max(F.when(F.col("slot") % 2 == side, F.col("value")))
     low, high, p = at(0), at(1), F.col("probability")
@@ -125,11 +131,14 @@ def quantiles(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
     ``points`` maps each column to its probabilities; all columns share the passes.
     A column without any value has no rows.
     """
-    lists = None
-    for name, probabilities in points.items():
-        array = F.array(*[F.lit(float(p)) for p in probabilities])
-        lists = F.when(F.col("column") == name, array) if lists is None else lists.when(F.col("column") == name, array)
-    return ranked_values(long_form(df, list(points)), ["column"], lists, bounded=True)
+    columns = list(points)
+    # Columns go by their number until the end: a number is a cheaper grouping key than a name.
+    lists = F.array(*[F.array(*[F.lit(float(p)) for p in points[c]]) for c in columns])
+    # A name that cannot be null lets later joins on it add no filter, which would reach only one
+    # of the uses of pass 1 and make it run twice.
+    name = F.coalesce(F.get(F.array(*[F.lit(c) for c in columns]), F.col("series")), F.lit(""))
+    found = ranked_values(long_form(df, columns), ["series"], F.get(lists, F.col("series")), bounded=True)
+    return found.select(name.alias("column"), "probability", "quantile")
 
 
 def approx_quantiles(df: DataFrame, points: dict[str, list[float]], accuracy: int = 10_000) -> DataFrame:

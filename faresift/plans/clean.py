@@ -7,17 +7,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from faresift.operators.cleaning import session_clock, transform_many, transform_trips
+from faresift import schema as S
+from faresift.functions.scalars import union_all
+from faresift.operators.cleaning import session_clock, transform_trips
 from faresift.operators.gate import unknown_codes, validate_source
 from faresift.operators.quality import flag_aggregates, quality_by_source, reconcile, summary_rows
 from faresift.sources import sinks
 from faresift.sources.trips import (
+    base_name,
+    month_frames,
     month_paths,
     read_month,
-    read_months,
     reporting_period,
-    reporting_periods,
     require_source,
+    typed,
 )
 
 
@@ -30,7 +33,7 @@ def clean_month(
     counted by the same write, so the summary costs no further pass. The results are promoted
     only when the three counts agree.
     """
-    source_file = path.rstrip("/").rsplit("/", 1)[-1]
+    source_file = base_name(path)
     require_source(spark, path)
     year, month = reporting_period(source_file)
     raw = read_month(spark, path)
@@ -64,20 +67,22 @@ def clean_months(
 ) -> DataFrame:
     """Check, clean and write every month of a folder; returns the quality summary per source file.
 
-    All months share one scan per half, however many there are, and nothing is shuffled on the
-    way to the files. The summary is counted on the staged files themselves, from their flag
-    columns and footers, and reconciled per source file before anything is promoted.
+    Every month keeps its own scan with literal bounds, and all of them are written by one job per
+    half, without a shuffle. The summary is counted on the staged files themselves, from their
+    flag columns and footers, and reconciled per source file before anything is promoted.
     """
-    paths = month_paths(spark, folder)
-    sources = [p.rsplit("/", 1)[-1] for p in paths]
-    periods = reporting_periods(spark, sources)
-    raw = read_months(spark, paths)
-    codes = [f"{r['column']} {r['value']}" for r in unknown_codes(raw).limit(1000).collect()]
+    frames = {name: typed(df) for name, df in month_frames(spark, month_paths(spark, folder)).items()}
+    sources = list(frames)
+    periods = {source: reporting_period(source) for source in sources}
+    codes = unknown_codes(union_all([df.select(*S.CODE_DOMAINS) for df in frames.values()])).limit(1000).collect()
     if codes:
-        raise ValueError("Source validation failed, invalid values: " + ", ".join(sorted(codes)))
+        found = sorted(f"{r['column']} {r['value']}" for r in codes)
+        raise ValueError("Source validation failed, invalid values: " + ", ".join(found))
 
     now = processing_time or session_clock(spark)
-    processed, rejected = transform_many(raw, periods, now)
+    halves = [transform_trips(df, *periods[source], source, now) for source, df in frames.items()]
+    processed, rejected = (union_all(list(half)) for half in zip(*halves))
+    raw = union_all([df.select(F.lit(source).alias("source_file")) for source, df in frames.items()])
     staged = sinks.staging_path(out)
     try:
         sinks.stage_half(processed, f"{staged}/processed")
@@ -86,7 +91,7 @@ def clean_months(
             half: spark.read.schema(rows.schema).parquet(f"{staged}/{half}")
             for half, rows in zip(sinks.HALVES, (processed, rejected))
         }
-        summary = quality_by_source(written["processed"], written["rejected"], raw.select("source_file"))
+        summary = quality_by_source(written["processed"], written["rejected"], raw)
         rows = summary.collect()  # seventeen rows per source file
         schema = summary.schema
         empty = sorted(set(sources) - {r["source_file"] for r in rows})

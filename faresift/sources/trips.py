@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faresift import schema as S
+from faresift.functions.scalars import union_all
 from faresift.operators.cleaning import check_month
 from faresift.operators.gate import schema_violations
 from faresift.session import hadoop_path
@@ -40,10 +40,16 @@ def month_paths(spark: SparkSession, folder: str) -> list[str]:
     return found
 
 
+def base_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def source_name(path: Column) -> Column:
     """Name of the month a file belongs to: its folder if that is named like Parquet, else itself."""
-    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    return F.when(folder.endswith(".parquet"), folder).otherwise(F.substring_index(path, "/", -1))
+    tail = F.substring_index(path, "/", -2)
+    return F.when(tail.contains(".parquet/"), F.substring_index(tail, "/", 1)).otherwise(
+        F.substring_index(tail, "/", -1)
+    )
 
 
 def with_lineage(df: DataFrame, source_file: str | None = None) -> DataFrame:
@@ -80,12 +86,6 @@ def with_reporting_period(df: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def reporting_periods(spark: SparkSession, names: list[str]) -> DataFrame:
-    """(source_file, reporting_year, reporting_month) of file names; a name that does not fit is an error."""
-    rows = [(name, *reporting_period(name)) for name in names]
-    return spark.createDataFrame(rows, "source_file string, reporting_year int, reporting_month int")
-
-
 def reporting_period(file_name: str) -> tuple[int, int]:
     """Year and month of one file name."""
     match = re.fullmatch(S.FILE_NAME_REGEX, file_name)
@@ -116,38 +116,31 @@ def read_month(spark: SparkSession, path: str) -> DataFrame:
     return settle(spark.read.parquet(path))
 
 
-def file_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
-    """Schema of every month on its own: one footer each, read side by side."""
+def month_frames(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
+    """One lazy frame per month by its name, each checked against the source schema on its own.
+
+    A read of all paths at once would take the schema of one file and hide an extra column in
+    another. Only a footer per month is read here, several side by side.
+    """
     with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        return dict(zip(paths, pool.map(lambda p: spark.read.parquet(p).schema, paths)))
+        found = dict(zip(map(base_name, paths), pool.map(lambda p: spark.read.parquet(p), paths)))
+    faults = [f"{name}: {rule} {column}" for name, df in found.items() for rule, column, _ in schema_violations(df.schema)]
+    if faults:
+        raise ValueError("Source validation failed:\n- " + "\n- ".join(faults))
+    return {name: settle(df) for name, df in found.items()}
 
 
-def source_schema_violations(schemas: dict[str, T.StructType]) -> list[tuple[str, str, str, str]]:
-    """(source, rule, column, detail) for every month whose own schema is at fault."""
-    return [(path.rsplit("/", 1)[-1], *v) for path, schema in schemas.items() for v in schema_violations(schema)]
+def typed(df: DataFrame) -> DataFrame:
+    """A month in the types of the source schema, to be united with others."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRIP_SCHEMA.fields])
 
 
 def read_months(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Many months as one frame with lineage, each checked against the source schema first.
+    """Many months as one frame with ``source_file``, in the types of the source schema.
 
-    A read of all paths at once would take the schema of one file and hide an extra column in
-    another. Months that share a schema are read together, so the number of scans is the number
-    of distinct schemas, not of months.
+    Each month is a scan of its own with its name as a literal, so no path is taken apart per row.
     """
-    schemas = file_schemas(spark, paths)
-    faults = source_schema_violations(schemas)
-    if faults:
-        raise ValueError("Source validation failed:\n- " + "\n- ".join(f"{s}: {r} {c}" for s, r, c, _ in faults))
-    alike: dict[str, list[str]] = {}
-    for path in paths:
-        alike.setdefault(schemas[path].json(), []).append(path)
-    scans = [
-        with_lineage(settle(spark.read.schema(schemas[group[0]]).parquet(*group))).select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRIP_SCHEMA.fields], "source_file"
-        )
-        for group in alike.values()
-    ]
-    return reduce(DataFrame.unionAll, scans)
+    return union_all([with_lineage(typed(df), name) for name, df in month_frames(spark, paths).items()])
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
@@ -165,7 +158,7 @@ def file_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
     files without a byte, so the sources asked for are listed by name and the rest is joined on.
     """
     name = source_name(F.col("_metadata.file_path")).alias("source_file")
-    named = spark.createDataFrame([(p.rstrip("/").rsplit("/", 1)[-1],) for p in paths], "source_file string")
+    named = spark.createDataFrame([(base_name(p),) for p in paths], "source_file string")
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
