@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faresift import schema as S
 from faresift.functions import conditions as C
-from faresift.functions.scalars import half_even, holds, in_bin, label_of, ntz, percent_of
+from faresift.functions.scalars import holds, in_bin, label_of, ntz, percent_of
 from faresift.operators.metrics import count_metrics, true_rows
 from faresift.operators.profiling import describe_numeric, value_counts, with_measures
 from faresift.operators.quantiles import ranked_values

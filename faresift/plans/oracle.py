@@ -9,7 +9,6 @@ from faresift.plans.derived_trips import duckdb_trips
 P, D = S.PICKUP, S.DROPOFF
 NAMES = ", ".join(S.TRIP_COLUMNS)
 KEY = f"{P}, {D}, PULocationID, DOLocationID, trip_distance, total_amount"
-FLAGS = ", ".join(S.QUALITY_FLAGS)
 MONTH = "yellow_tripdata_2024-01.parquet"
 ALL_MISSING = " AND ".join(f"{c} IS NULL" for c in S.BLOCK_COLUMNS)
 STRICT = " + ".join(S.AMOUNT_PARTS)
@@ -377,7 +376,6 @@ def location_sql(range_only: bool) -> str:
 def build() -> dict[str, str]:
     flagged = {
         name: f"{CLEAN} SELECT {KEY}, {name} FROM processed" for name in [*S.QUALITY_FLAGS, S.DURATION, S.SPEED]
-        if name not in ("trip_distance", "total_amount")
     }
     tables = (
         "region nation customer supplier part orders lineitem events "

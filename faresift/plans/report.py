@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from faresift import schema as S
 from faresift.functions import conditions as C

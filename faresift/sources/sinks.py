@@ -13,7 +13,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faresift import schema as S
 from faresift.session import hadoop_path
 
 HALVES = ("processed", "rejected")

@@ -168,6 +168,26 @@ def test_clean_months_equals_month_by_month(spark, tmp_path):
             assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+def test_clean_months_without_any_rejects(spark, tmp_path):
+    save(tmp_path / JAN, {})
+    out = str(tmp_path / "out")
+    summary = {r["metric"]: r["count"] for r in clean_months(spark, str(tmp_path), out, NOW).collect()}
+    assert (summary["processed_rows"], summary["rejected_rows"]) == (1, 0)
+    rejected = spark.read.parquet(sinks.output_path(out, "rejected", JAN))
+    assert rejected.count() == 0 and len(rejected.columns) == 21
+
+
+def test_clean_months_refuses_an_empty_month_and_unknown_codes(spark, tmp_path):
+    save(tmp_path / JAN, {})
+    save(tmp_path / FEB)
+    with pytest.raises(ValueError, match="empty.*2024-02"):
+        clean_months(spark, str(tmp_path), str(tmp_path / "out"), NOW)
+    save(tmp_path / FEB, in_february(RatecodeID=7.0))
+    with pytest.raises(ValueError, match="RatecodeID 7.0"):
+        clean_months(spark, str(tmp_path), str(tmp_path / "out"), NOW)
+    assert not (tmp_path / "out" / "processed").exists()
+
+
 def test_pending_and_missing(spark):
     listing = spark.createDataFrame([(JAN,), (FEB,), (FEB,)], "file_name string")
     ledger = landing.landed_files(spark.createDataFrame([(JAN,), (JAN,)], "source_file string"))
