@@ -69,7 +69,7 @@ def promote_half(spark: SparkSession, staged: str, out: str, half: str, like: Da
         folder = f"{staged}/_source={_escaped(spark, source)}"
         place, fs = hadoop_path(spark, folder)
         if not fs.exists(place):
-            spark.createDataFrame([], like.schema).coalesce(1).write.mode("overwrite").parquet(folder)
+            like.limit(0).write.mode("overwrite").parquet(folder)
         promote(spark, folder, output_path(out, half, source))
 
     with ThreadPoolExecutor(PROMOTERS) as pool:

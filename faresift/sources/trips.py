@@ -158,7 +158,7 @@ def file_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
     files without a byte, so the sources asked for are listed by name and the rest is joined on.
     """
     name = source_name(F.col("_metadata.file_path")).alias("source_file")
-    named = spark.createDataFrame([(base_name(p),) for p in paths], "source_file string")
+    named = spark.range(1).select(F.explode(F.array(*[F.lit(base_name(p)) for p in paths])).alias("source_file"))
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
