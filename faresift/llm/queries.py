@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from faresift.llm import decontaminate, exact_dedup, simhash
+from faresift.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    extraction,
+    language,
+    line_dedup,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+)
 from faresift.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,17 +32,58 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of the table and one of control strings only, as id -7."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = F.lit("</s>[INST] ok [/INST]").alias("text")
+    turns = F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role")
+    extra = spark.range(1).select(turns).select(F.lit(-7).cast("long").alias("conv_id"), "turn", "role", tricky)
+    return chat.digests(chat.format_conversations(given.unionByName(extra)))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "n_lines", "removed_lines")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("byte_spans")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_simhash,
         op2_exact_dedup,
+        op3_secret_scan,
+        op4_quality,
+        op5_chat_format,
+        op6_packing,
+        op7_line_dedup,
         op8_decontaminate,
+        op9_language,
+        op10_main_text,
     )
 }
 
@@ -45,4 +98,39 @@ ORACLE_SQL: dict[str, str] = {
             row_number() OVER (PARTITION BY body ORDER BY doc_id) = 1 AS kept,
             sha256(body) AS text_sha256
         FROM n""",
+    "op7_line_dedup": r"""
+        WITH u AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM documents WHERE text IS NOT NULL
+        ), w AS (
+            SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+                CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h
+            FROM u
+        ), n AS (
+            SELECT *, coalesce(lag(h) OVER o, 0) AS before, lead(words) OVER o AS after FROM w
+            WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ), e AS (
+            SELECT *, after IS NULL OR words = 0 OR words >= 50 OR after = 0 OR after >= 50
+                OR (before * 31 + h) % 8 = 0 AS ends
+            FROM n
+        ), c AS (
+            SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+            FROM e
+        ), k AS (
+            SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, sum(words) AS words
+            FROM c GROUP BY doc_id, chunk
+        ), r AS (
+            SELECT doc_id, chunk, words >= 50
+                AND row_number() OVER (PARTITION BY body, words >= 50 ORDER BY doc_id, chunk) > 1 AS gone
+            FROM k
+        ), t AS (
+            SELECT c.doc_id, count(*) AS n_lines, sum(CAST(gone AS INT)) AS removed_lines,
+                coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
+            FROM c JOIN r ON c.doc_id = r.doc_id AND c.chunk = r.chunk GROUP BY c.doc_id
+        )
+        SELECT d.doc_id, t.text, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
+            CAST(coalesce(removed_lines, 0) AS INT) AS removed_lines
+        FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
 }
