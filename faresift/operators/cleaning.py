@@ -128,14 +128,23 @@ def transform_many(
 ) -> tuple[DataFrame, DataFrame]:
     """Clean rows of any number of months in one scan.
 
-    ``df`` carries ``source_file`` next to the trip columns; ``periods`` has one row per source
-    file with its ``reporting_year`` and ``reporting_month``. It is as small as the list of
-    monthly files, so it is broadcast and no trip is shuffled. A trip of an unlisted file fails the query.
+    ``df`` carries ``source_file`` next to the trip columns; ``periods`` names the ``reporting_year`` and
+    ``reporting_month`` of each source file. It is brought to one row per file, and a file with two
+    periods fails the query, as does a trip of an unlisted file; so no trip is ever multiplied or lost.
+    Spark broadcasts the lookup while it is small, and then no trip is shuffled.
     """
-    bounds = period_bounds(F.col("reporting_year"), F.col("reporting_month"))
-    lookup = periods.select("source_file", *[c.alias(n) for n, c in bounds.items()])
+    period = F.collect_set(F.struct("reporting_year", "reporting_month"))
+    twice = F.raise_error(F.concat(F.lit("Several reporting periods for "), F.col("source_file")))
+    single = periods.groupBy("source_file").agg(period.alias("p")).select(
+        "source_file",
+        F.when(F.size("p") == 1, F.get("p", 0)).otherwise(
+            twice.cast("struct<reporting_year:int,reporting_month:int>")
+        ).alias("p"),
+    )
+    bounds = period_bounds(F.col("p.reporting_year"), F.col("p.reporting_month"))
+    lookup = single.select("source_file", *[c.alias(n) for n, c in bounds.items()])
     unlisted = F.raise_error(F.concat(F.lit("No reporting period for "), F.col("source_file"))).cast("timestamp_ntz")
-    dated = df.join(F.broadcast(lookup), "source_file", "left")
+    dated = df.join(lookup, "source_file", "left")
     return split_trips(
         dated,
         F.col("reporting_start"),

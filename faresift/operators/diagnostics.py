@@ -12,7 +12,6 @@ from faresift.functions import conditions as C
 from faresift.functions.scalars import holds, in_bin, label_of, ntz, percent_of
 from faresift.operators.metrics import count_metrics, true_rows
 from faresift.operators.profiling import describe_numeric, value_counts, with_measures
-from faresift.operators.quantiles import ranked_values
 
 RECORD_GROUPS = ["flex_fare_group", "standard_group"]
 
@@ -44,6 +43,11 @@ def missing_pattern(df: DataFrame) -> DataFrame:
     return count_metrics(df, missing_pattern_conditions())
 
 
+def _flex_rows() -> Column:
+    """The segment as a filter: the plain comparison beside it reaches the scan and skips row groups."""
+    return (F.col("payment_type") == S.FLEX_PAYMENT) & C.flex_segment()
+
+
 def segment_contiguity(df: DataFrame, position: str | Column, source: str | None = None) -> DataFrame:
     """First and last position and size of the flex-fare segment, and whether it has no gap.
 
@@ -51,7 +55,7 @@ def segment_contiguity(df: DataFrame, position: str | Column, source: str | None
     window is needed. ``source`` counts each file by itself; without it an empty segment gives nulls.
     """
     place = F.col(position) if isinstance(position, str) else position
-    found = df.where(C.flex_segment())
+    found = df.where(_flex_rows())
     return found.groupBy(*([source] if source else [])).agg(
         F.min(place).alias("first_position"),
         F.max(place).alias("last_position"),
@@ -129,32 +133,30 @@ def reconcile_by_vendor(df: DataFrame) -> DataFrame:
 
     A vendor without complete rows is kept, with 0 rows and nulls.
     """
-    counts = residual_counts_by_vendor(df)
     residual, n = F.col("residual"), F.col("n")
     zero = F.lit(0).cast("bigint")
-    complete = F.coalesce(F.sum(F.when(residual.isNotNull(), n)), zero)
+    complete = F.when(residual.isNotNull(), n).otherwise(zero)
+    vendor = Window.partitionBy("VendorID")
+    up_to = vendor.orderBy("residual").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = (
+        residual_counts_by_vendor(df)
+        .withColumn("_upto", F.sum(complete).over(up_to))
+        .withColumn("_all", F.sum(complete).over(vendor))
+    )
+    # The residuals at the two middle ranks, read off the running counts.
+    middle = lambda rank: F.max(
+        F.when(residual.isNotNull() & (rank < F.col("_upto")) & (rank >= F.col("_upto") - n), residual)
+    )
+    low, high = middle(F.floor((F.col("_all") - 1) / 2)), middle(F.ceil((F.col("_all") - 1) / 2))
+    complete_rows = F.sum(complete)
     matching = F.coalesce(F.sum(F.when(F.abs(residual) <= S.CENT, n)), zero)
-    sums = counts.groupBy("VendorID").agg(
-        complete.alias("complete_rows"),
+    return counts.groupBy("VendorID").agg(
+        complete_rows.alias("complete_rows"),
         matching.alias("matching_within_1_cent"),
-        percent_of(matching, complete, 4).alias("matching_percentage"),
+        percent_of(matching, complete_rows, 4).alias("matching_percentage"),
+        (low + (high - low) / 2).alias("median_residual"),
         F.max(F.abs(residual)).alias("maximum_absolute_residual"),
     )
-    medians = ranked_values(
-        counts.withColumnRenamed("residual", "value"),
-        ["VendorID"],
-        F.array(F.lit(0.5)),
-        bounded=False,
-        weight="n",
-    ).select("VendorID", F.col("quantile").alias("median_residual"))
-    return sums.join(medians, "VendorID", "left").select(
-        "VendorID",
-        "complete_rows",
-        "matching_within_1_cent",
-        "matching_percentage",
-        "median_residual",
-        "maximum_absolute_residual",
-    )
 
 
 def top_residuals_by_vendor(df: DataFrame, n: int = 5) -> DataFrame:
@@ -171,7 +173,7 @@ def top_residuals_by_vendor(df: DataFrame, n: int = 5) -> DataFrame:
 
 def flex_residual_counts(df: DataFrame, n: int = 15) -> DataFrame:
     """Most frequent residuals of the flex-fare segment over the parts that are there, with their share."""
-    segment = df.where(C.flex_segment()).select(C.lenient_residual().alias("residual"))
+    segment = df.where(_flex_rows()).select(C.lenient_residual().alias("residual"))
     counted = segment.groupBy("residual").agg(F.count(F.lit(1)).alias("count"))
     total = counted.agg(F.sum("count")).scalar()
     return (
@@ -366,7 +368,12 @@ def duplicate_counts(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     costs one record per task. Without ``keys`` whole rows are compared.
     """
     n = F.col("n")
-    groups = df.groupBy(*(keys or df.columns)).agg(F.count(F.lit(1)).alias("n")).where(n > 1)
+    columns = [f"`{c}`" for c in keys or df.columns]
+    hashed = [F.xxhash64(*columns).alias("_h1"), F.xxhash64(F.lit(1), *columns).alias("_h2")]
+    # Only rows whose 128-bit hash is met twice are compared, and shuffled, in full.
+    twice = df.select(*hashed).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("n")).where(n > 1).drop("n")
+    suspects = df.select(*columns, *hashed).join(twice, ["_h1", "_h2"], "left_semi")
+    groups = suspects.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(n > 1)
     zero = F.lit(0).cast("bigint")
     return groups.agg(
         F.coalesce(F.sum(n), zero).alias("rows_in_duplicate_groups"),

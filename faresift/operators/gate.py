@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faresift import schema as S
 from faresift.functions.scalars import any_of, union_all
+from faresift.session import work_dir
 
-# Spark pushes a rank limit below the shuffle up to 1000 rows per group.
-MAX_LISTED = 999
 VIOLATION_SCHEMA = "rule string, column string, detail string"
 
 
@@ -87,32 +86,24 @@ def violations(df: DataFrame) -> DataFrame:
     return union_all(parts)
 
 
-def validate_source(df: DataFrame, codes_shown: int = 1000) -> None:
-    """Raise one error that lists all faults of the source.
+def refuse_faults(found: DataFrame, report: str | None = None) -> None:
+    """Raise if a (rule, column, detail) frame holds rows, which are then written in full for reading up.
 
-    The message shows up to ``codes_shown`` unknown codes in value order and says how many more
-    there are; ``violations`` holds them all without bringing them to the driver.
+    Only the number of faults of each rule and column comes to the driver. ``report`` is the folder of the
+    written table, by default one in the shared scratch folder; the error names it.
     """
-    faults = schema_violations(df.schema)
-    errors = ["Dataset is empty."] if df.isEmpty() else []
-    by_rule = lambda rule: [c for r, c, _ in faults if r == rule]
-    if by_rule("missing_column"):
-        errors.append(f"Missing required columns: {by_rule('missing_column')}")
-    if by_rule("unexpected_column"):
-        errors.append(f"Unexpected columns: {by_rule('unexpected_column')}")
-    errors += [f"{c} is not a datetime column." for c in by_rule("not_datetime")]
-    if not by_rule("missing_column"):
-        codes = unknown_codes(df)
-        numeric = F.expr("try_cast(value AS double)")
-        shown = codes.orderBy("column", numeric, "value").limit(codes_shown + 1).collect()
-        for column in S.CODE_DOMAINS:
-            values = ", ".join(r["value"] for r in shown[:codes_shown] if r["column"] == column)
-            if values:
-                errors.append(f"{column} contains invalid values: [{values}]")
-        if len(shown) > codes_shown:
-            errors.append(f"{codes.count() - codes_shown:,} further invalid values, see violations().")
-    if errors:
-        raise ValueError("Source validation failed:\n- " + "\n- ".join(errors))
+    counted = found.groupBy("rule", "column").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counted:
+        return
+    path = report or f"{work_dir(found.sparkSession)}/violations"
+    found.write.mode("overwrite").parquet(path)
+    said = sorted(f"{r['rule']}{f' {r["column"]}' if r['column'] else ''} ({r['n']:,})" for r in counted)
+    raise ValueError(f"{len(said)} rules broken: {'; '.join(said)}. All faults are listed in {path}")
+
+
+def validate_source(df: DataFrame, report: str | None = None) -> None:
+    """Refuse a source that breaks any rule; see ``refuse_faults``."""
+    refuse_faults(violations(df), report)
 
 
 def observed_codes(df: DataFrame, domains: dict[str, list]) -> DataFrame:
@@ -133,64 +124,28 @@ def observed_codes(df: DataFrame, domains: dict[str, list]) -> DataFrame:
     )
 
 
-def _listable(counted: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Distinct values of each group, but for one more than may be listed; that one fails the query.
-
-    A list in a cell is built by one task, so its length is bounded here. The rank limit is applied
-    before the shuffle, so no task sees more than that many values of a group either.
-    """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
-    message = f"More than {MAX_LISTED} distinct values to list; use observed_codes or value_counts instead"
-    return (
-        counted.withColumn("_rank", rank)
-        .where(F.col("_rank") <= MAX_LISTED + 1)
-        .withColumn(value, F.when(F.col("_rank") <= MAX_LISTED, F.col(value)).otherwise(F.raise_error(F.lit(message))))
-        .drop("_rank")
-    )
-
-
-def _sorted_list(value: Column) -> Column:
-    return F.array_sort(F.collect_list(value))
-
-
 def domain_report(df: DataFrame, domains: dict[str, list] | None = None) -> DataFrame:
-    """Per code column: codes observed, those without documentation, and whether all are documented.
+    """(column, code, rows, documented, all_documented): every code met, however many there are.
 
-    Meant for code columns: more than ``MAX_LISTED`` distinct codes in one are an error.
-    ``observed_codes`` gives the same content one row per code, for any number of codes.
+    A column without any code has one row with a null code and counts as documented.
     """
     domains = domains or {c: v for c, v in S.CODE_DOMAINS.items() if c != "store_and_fwd_flag"}
     names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in domains])).alias("column"))
-    code = F.col("code")
-    folded = (
-        _listable(observed_codes(df, domains), ["column"], "code")
-        .groupBy("column")
-        .agg(
-            _sorted_list(code).alias("observed"),
-            _sorted_list(F.when(~F.col("documented"), code)).alias("unknown_observed"),
-        )
-    )
-    none = F.array().cast("array<bigint>")
-    return (
-        names.join(folded, "column", "left")
-        .withColumns({c: F.coalesce(c, none) for c in ("observed", "unknown_observed")})
-        .withColumn("all_documented", F.size("unknown_observed") == 0)
+    codes = observed_codes(df, domains)
+    # One row per described column.
+    whole = codes.groupBy("column").agg(F.bool_and("documented").alias("all_documented"))
+    listed = codes.join(F.broadcast(whole), "column")
+    return names.join(listed, "column", "left").select(
+        "column",
+        "code",
+        F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"),
+        "documented",
+        F.coalesce("all_documented", F.lit(True)).alias("all_documented"),
     )
 
 
 def string_domain_report(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
-    """One row: distinct values, values outside ``allowed``, and rows without a value.
-
-    More than ``MAX_LISTED`` distinct values are an error, as in ``domain_report``.
-    """
+    """(value, rows, is_outside): every value met; rows without a value are the null one, never outside."""
     value = F.col("value")
     counted = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    missing = counted.where(value.isNull()).agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint"))).scalar()
-    return (
-        _listable(counted.where(value.isNotNull()).select(F.lit(column).alias("column"), "value"), ["column"], "value")
-        .agg(
-            _sorted_list(value).alias("non_null_values"),
-            _sorted_list(F.when(~value.isin(allowed), value)).alias("outside_allowed"),
-        )
-        .withColumn("missing_rows", missing)
-    )
+    return counted.withColumn("is_outside", F.coalesce(~value.isin(allowed), F.lit(False)))

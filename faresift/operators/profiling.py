@@ -369,28 +369,26 @@ def histogram(
     that are left, the last bin is closed, and empty bins are listed with 0.
     """
     x = F.col(column).cast("double")
-    kept = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    values = df.select(x.alias("x")).where(F.col("x").isNotNull())
     wanted = sorted({float(p) for p in (low_quantile, high_quantile) if p is not None})
-    bounds = [
-        F.col("x") >= low if low is not None else None,
-        F.col("x") <= high if high is not None else None,
-        F.col("x") >= F.col(percentile_name(low_quantile)) if low_quantile is not None else None,
-        F.col("x") <= F.col(percentile_name(high_quantile)) if high_quantile is not None else None,
-    ]
-    inside = all_of([b for b in bounds if b is not None] or [F.lit(True)])
+    bounds = [F.col("x") >= low if low is not None else None, F.col("x") <= high if high is not None else None]
     if wanted:
-        # The limits and the span below are single rows, so each meets every value by a lookup in one row.
-        at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(percentile_name(p))
-        kept = kept.join(F.broadcast(quantiles(kept, {"x": wanted}).agg(*map(at, wanted))), inside).select("x")
-    else:
-        kept = kept.where(inside)
+        # One row, read as a subquery: the limits are literals by the time the values are scanned.
+        found = quantiles(values, {"x": wanted})
+        at = lambda p: found.agg(F.max(F.when(F.col("probability") == float(p), F.col("quantile")))).scalar()
+        bounds += [F.col("x") >= at(low_quantile)] if low_quantile is not None else []
+        bounds += [F.col("x") <= at(high_quantile)] if high_quantile is not None else []
+    kept = values.where(all_of([b for b in bounds if b is not None] or [F.lit(True)]))
 
     # A single value gets a bin range of width 1 around it, no value at all the range 0..1.
     least, most = F.min("x"), F.max("x")
     span = kept.agg(
-        F.coalesce(F.when(least == most, least - 0.5).otherwise(least), F.lit(0.0)).alias("first"),
-        F.coalesce(F.when(least == most, most + 0.5).otherwise(most), F.lit(1.0)).alias("last"),
-    )
+        F.struct(
+            F.coalesce(F.when(least == most, least - 0.5).otherwise(least), F.lit(0.0)).alias("first"),
+            F.coalesce(F.when(least == most, most + 0.5).otherwise(most), F.lit(1.0)).alias("last"),
+        )
+    ).scalar()
+    ends = {"first": span["first"], "last": span["last"]}
     first, last, n = F.col("first"), F.col("last"), F.lit(float(bins))
     # The last edge is the largest value itself, not the first edge plus so many steps.
     edge = lambda i: F.when(i == bins, last).otherwise(i * ((last - first) / n) + first)
@@ -402,14 +400,14 @@ def histogram(
         .otherwise(F.col("guess"))
     )
     counted = (
-        df.select(x.alias("x"))
-        .join(F.broadcast(span), F.col("x").between(first, last))
+        kept.withColumns(ends)
         .withColumn("guess", guess)
         .groupBy(settled.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
     numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")))
-    every = span.select("first", "last", numbers.alias("bin"))
+    every = df.sparkSession.range(1).select(numbers.alias("bin")).withColumns(ends)
+    # One row per bin on either side.
     return every.join(F.broadcast(counted), "bin", "left").select(
         "bin",
         edge(F.col("bin")).alias("lower"),

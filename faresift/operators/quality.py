@@ -17,7 +17,7 @@ SUMMARY_COUNTS = ["raw_rows", "processed_rows", "rejected_rows", *S.QUALITY_FLAG
 def require_flags(processed: DataFrame) -> None:
     missing = sorted(set(S.QUALITY_FLAGS) - set(processed.columns))
     if missing:
-        raise ValueError(f"Missing quality flags: {missing}")
+        raise ValueError(f"The cleaned rows lack {len(missing)} flags: {', '.join(missing)}")
 
 
 def reconcile(raw: int, processed: int, rejected: int) -> None:

@@ -1,16 +1,19 @@
 """Exact linear-interpolation quantiles that no single task has to hold.
 
 ``percentile`` keeps every distinct value of a group in one buffer, which breaks down on a
-measure such as speed. Here the wanted ranks are narrowed down in two passes instead:
-
-1. count rows per fine logarithmic bucket of the value and add the counts up, which tells the
-   bucket of each wanted rank. Doubles have a bounded number of buckets, so this stays small;
-2. count the distinct values of those buckets only, and read off the values at the ranks.
-   Buckets in which pass 1 met a single value are settled already.
-
-Pass 1 ships one short record per bucket and task. In pass 2 a broadcast of at most two buckets
-per requested quantile drops all other rows in the scan, and equal values are counted before
-the shuffle, so a heavy value costs one record per task.
+measure such as speed. Here the wanted ranks are narrowed down instead:
+
+1. count rows per logarithmic bucket of the value and add the counts up, which tells the bucket of
+   each wanted rank. Doubles have a bounded number of buckets, so this stays small;
+2. cut each of those buckets into CELLS equal cells between its own least and largest value, and do so
+   again with the cells that hold a wanted rank. A bucket spans 0.4 % of its value, so a cell of the
+   second cut spans 2**-40 of it: no more than some thousand doubles are that close;
+3. count the distinct values of the cells that are left, and read off the values at the ranks.
+
+Buckets and cells that hold a single value are settled where they are met, and later steps over no
+cells are dropped at run time. Every step ships one short record per cell and task. From step 2 on a
+broadcast of at most two cells per requested quantile drops all other rows in the scan, and equal values
+are counted before the shuffle, so a heavy value costs one record per task.
 """
 
 from __future__ import annotations
@@ -20,14 +23,18 @@ from pyspark.sql import functions as F
 
 from faresift.functions.scalars import union_all
 
-# Buckets per factor of e: each spans 0.024 % of its value. The offset keeps the bucket of
+# Buckets per factor of e: each spans 0.4 % of its value. The offset keeps the bucket of
 # every positive double positive, so that negative values can mirror them.
-BUCKETS_PER_E = 4096.0
-BUCKET_OFFSET = 4_000_000
+BUCKETS_PER_E = 256.0
+BUCKET_OFFSET = 400_000
+CELLS = 65_536
+CUTS = 2
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
 def _log_bucket(value: Column) -> Column:
-    size = F.floor(F.least(F.ln(F.abs(value)), F.lit(710.0)) * F.lit(BUCKETS_PER_E)) + F.lit(BUCKET_OFFSET)
+    magnitude = F.ln(F.abs(value.cast("double")))
+    size = F.floor(F.least(magnitude, F.lit(710.0)) * F.lit(BUCKETS_PER_E)) + F.lit(BUCKET_OFFSET)
     # A bucket for missing values as well, where they weigh nothing: a nullable bucket would make
     # the planner filter on it, down to the scan, and evaluate it several times per row.
     return F.coalesce(F.when(value > 0, size).when(value < 0, -size), F.lit(0).cast("bigint"))
@@ -49,12 +56,29 @@ def _inside(wanted: Column, before: Column, n: Column) -> Column:
     return F.transform(hit, lambda w: F.struct(w["slot"].alias("slot"), (w["rank"] - before).alias("rank")))
 
 
-def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(slot of the column in the list, value) rows of numeric columns; NaN becomes null."""
-    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value")
-    if len(columns) == 1:
-        return df.select(F.lit(0).alias("series"), number(columns[0]))
-    cells = [F.struct(F.lit(i).alias("series"), number(c)) for i, c in enumerate(columns)]
+def _cell(value: Column, least: Column, most: Column) -> Column:
+    """Number of the cell between the ends of a bucket, from 0 to CELLS - 1.
+
+    Within a bucket all values have one sign, so differences of whole numbers do not overflow.
+    """
+    share = (value - least).cast("double") / (most - least).cast("double")
+    return F.least(F.floor(share * CELLS), F.lit(CELLS - 1).cast("bigint"))
+
+
+def long_form(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """(number of the column, value) rows of numeric columns; NaN becomes null.
+
+    Whole numbers stay whole if all columns are: beyond 2**53 doubles cannot tell them apart.
+    """
+    kinds = dict(df.select(*[F.col(c) for c in columns.values()]).dtypes)
+    if all(k in INTEGRAL for k in kinds.values()):
+        number = lambda c: F.col(c).cast("bigint").alias("value")
+    else:
+        number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value")
+    cells = [F.struct(F.lit(i).alias("series"), number(c)) for i, c in columns.items()]
+    if len(cells) == 1:
+        (i, c), = columns.items()
+        return df.select(F.lit(i).alias("series"), number(c))
     return df.select(F.inline(F.array(*cells)))
 
 
@@ -99,14 +123,25 @@ def ranked_values(
     )
     hot = _keep_wanted(buckets, keys, "_bucket")
 
-    # A bucket with one distinct value needs no second look. The others are looked up by their key
+    # Cells with one distinct value need no second look. The others are looked up by their key
     # alone and get their ranks back after the count, to keep the grouping key of each row short.
-    in_bucket = [*keys, "_bucket"]
-    settled = hot.where(F.col("_min") == F.col("_max")).withColumnRenamed("_min", "value")
-    open_ = hot.where(F.col("_min") < F.col("_max")).drop("_min", "_max")
-    exact = rows.join(hint(open_.select(*in_bucket)), in_bucket).groupBy(*in_bucket, "value").agg(n)
-    ranked = _keep_wanted(exact.join(hint(open_), in_bucket), in_bucket, "value")
-    found = union_all([f.select(*keys, "_total", "value", F.inline("_wanted")) for f in (settled, ranked)])
+    settled, path = [], [*keys, "_bucket"]
+    for cut in range(CUTS + 1):
+        settled.append(hot.where(F.col("_min") == F.col("_max")).withColumnRenamed("_min", "value"))
+        open_ = hot.where(F.col("_min") < F.col("_max"))
+        ranks = open_.drop("_min", "_max")
+        if cut == CUTS:
+            exact = rows.join(hint(open_.select(*path)), path).groupBy(*path, "value").agg(n)
+            settled.append(_keep_wanted(exact.join(hint(ranks), path), path, "value"))
+            break
+        name = f"_cell{cut}"
+        ends = open_.select(*path, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"))
+        rows = rows.join(hint(ends), path).withColumn(name, _cell(F.col("value"), F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+        counted = rows.groupBy(*path, name).agg(n, F.min("value").alias("_min"), F.max("value").alias("_max"))
+        hot = _keep_wanted(counted.join(hint(ranks), path), path, name)
+        path = [*path, name]
+    found = union_all([f.select(*keys, "_total", "value", F.inline("_wanted")) for f in settled])
+    found = found.withColumn("value", F.col("value").cast("double"))
 
     at = lambda side: F.max(F.when(F.col("slot") % 2 == side, F.col("value")))
     low, high, p = at(0), at(1), F.col("probability")
@@ -137,8 +172,15 @@ def quantiles(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
     # A name that cannot be null lets later joins on it add no filter, which would reach only one
     # of the uses of pass 1 and make it run twice.
     name = F.coalesce(F.get(F.array(*[F.lit(c) for c in columns]), F.col("series")), F.lit(""))
-    found = ranked_values(long_form(df, columns), ["series"], F.get(lists, F.col("series")), bounded=True)
-    return found.select(name.alias("column"), "probability", "quantile")
+    kinds = dict(df.dtypes)
+    whole = {i: c for i, c in enumerate(columns) if kinds.get(c) in INTEGRAL}
+    other = {i: c for i, c in enumerate(columns) if i not in whole}
+    found = [
+        ranked_values(long_form(df, part), ["series"], F.get(lists, F.col("series")), bounded=True)
+        for part in (whole, other)
+        if part
+    ]
+    return union_all(found).select(name.alias("column"), "probability", "quantile")
 
 
 def approx_quantiles(df: DataFrame, points: dict[str, list[float]], accuracy: int = 10_000) -> DataFrame:

@@ -121,7 +121,7 @@ def write_outputs(spark, sf_dir):
 def write_quality(spark, sf_dir):
     path = f"{work_dir(spark)}/quality"
     sinks.write_quality(quality_summary(spark, sf_dir), path)
-    return spark.read.schema("metric string, count bigint, percentage_of_raw double").csv(path, header=True)
+    return spark.read.schema(sinks.QUALITY_SCHEMA).csv(path, header=True)
 
 
 def pending_files(spark, sf_dir):
@@ -184,8 +184,7 @@ def validate_source(spark, sf_dir):
 
 
 def domain_report(spark, sf_dir):
-    report_ = gate.domain_report(_faulty(spark, sf_dir))
-    return _joined(report_, "observed", "unknown_observed")
+    return gate.domain_report(_faulty(spark, sf_dir))
 
 
 def observed_codes(spark, sf_dir):
@@ -194,13 +193,11 @@ def observed_codes(spark, sf_dir):
 
 
 def string_domain_report(spark, sf_dir):
-    found = gate.string_domain_report(_faulty(spark, sf_dir), "store_and_fwd_flag", ["N", "Y"])
-    return _joined(found, "non_null_values", "outside_allowed")
+    return gate.string_domain_report(_faulty(spark, sf_dir), "store_and_fwd_flag", ["N", "Y"])
 
 
 def order_status_report(spark, sf_dir):
-    found = gate.string_domain_report(_table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
-    return _joined(found, "non_null_values", "outside_allowed")
+    return gate.string_domain_report(_table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O"])
 
 
 # --- Row rules and quality ------------------------------------------------------------
@@ -381,6 +378,8 @@ QUERIES: dict[str, Query] = {
     "histogram": _histogram("trip_distance", low=0, high_quantile=0.995),
     "total_histogram": _histogram("total_amount", low_quantile=0.005, high_quantile=0.995),
     "speed_histogram": _histogram(S.SPEED, measured=True, low=0, high_quantile=0.999),
+    "histogram_of_one_value": _histogram("extra", low=4.4, high=5.4),
+    "histogram_of_no_value": _histogram("extra", low=100.0, high=200.0),
     "duration_checks": _on_trips(profiling.duration_checks),
     "duration_hours_checks": _on_trips(lambda df: _rounded(profiling.duration_hours_checks(df), 6)),
     "speed_checks": _on_trips(profiling.speed_checks),

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from faresift import schema as S
 from faresift.functions.scalars import union_all
 from faresift.operators.cleaning import session_clock, transform_trips
-from faresift.operators.gate import unknown_codes, validate_source
+from faresift.operators.gate import refuse_faults, unknown_codes, validate_source
 from faresift.operators.quality import flag_aggregates, quality_by_source, reconcile, summary_rows
-from faresift.sources import sinks
+from faresift.sources import landing, sinks
 from faresift.sources.trips import (
     base_name,
     month_frames,
@@ -30,8 +30,8 @@ def clean_month(
     """Check, clean and write one month; returns its quality summary.
 
     The scan and both sinks count their own rows while they are written, and the flags are
-    counted by the same write, so the summary costs no further pass. The results are promoted
-    only when the three counts agree.
+    counted by the same write, so the summary costs no further pass. The results become
+    current only when the three counts agree and the report is written.
     """
     source_file = base_name(path)
     require_source(spark, path)
@@ -42,65 +42,94 @@ def clean_month(
     processed, rejected = transform_trips(raw, year, month, source_file, processing_time)
     rows = F.count(F.lit(1))
     seen = {half: Observation(half) for half in sinks.HALVES}
-    staged = sinks.staging_path(out)
+    run = sinks.new_run(out)
+    paths = {name: f"{run}/{name}" for name in (*sinks.HALVES, "quality")}
     try:
         processed.observe(seen["processed"], rows.alias("processed_rows"), *flag_aggregates()).write.parquet(
-            f"{staged}/processed"
+            paths["processed"]
         )
         # The rejects are filtered in the scan by pickup, so this pass skips most row groups.
-        rejected.observe(seen["rejected"], rows.alias("rejected_rows")).write.parquet(f"{staged}/rejected")
+        rejected.observe(seen["rejected"], rows.alias("rejected_rows")).write.parquet(paths["rejected"])
         counts = {"raw_rows": raw.count(), **seen["processed"].get, **seen["rejected"].get}
         reconcile(counts["raw_rows"], counts["processed_rows"], counts["rejected_rows"])
         summary = summary_rows(
             spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
         )
-        for half in sinks.HALVES:
-            sinks.promote(spark, f"{staged}/{half}", sinks.output_path(out, half, source_file))
-        sinks.write_quality(summary, sinks.quality_path(out, source_file))
-    finally:
-        sinks.drop_staging(spark, staged)
+        sinks.write_quality(summary, paths["quality"])
+        sinks.point_to(spark, out, source_file, paths)
+    except Exception:
+        sinks.drop_run(spark, run)
+        raise
     return summary
 
 
 def clean_months(
-    spark: SparkSession, folder: str, out: str, processing_time: datetime | str | None = None
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    processing_time: datetime | str | None = None,
+    only: list[str] | None = None,
 ) -> DataFrame:
-    """Check, clean and write every month of a folder; returns the quality summary per source file.
+    """Check, clean and write the months of a folder; returns the quality summary per source file.
 
-    Every month keeps its own scan with literal bounds, and all of them are written by one job per
-    half, without a shuffle. The summary is counted on the staged files themselves, from their
-    flag columns and footers, and reconciled per source file before anything is promoted.
+    ``only`` names the months to take, by default all. Every month keeps its own scan with literal
+    bounds, and all of them are written by one job per half, without a shuffle. The summary is counted
+    on the written files themselves, from their flag columns and footers, and reconciled per source
+    file before any source is pointed to its new result.
     """
-    frames = {name: typed(df) for name, df in month_frames(spark, month_paths(spark, folder)).items()}
+    wanted = [p for p in month_paths(spark, folder) if only is None or base_name(p) in only]
+    frames = {name: typed(df) for name, df in month_frames(spark, wanted).items()}
     sources = list(frames)
     periods = {source: reporting_period(source) for source in sources}
-    codes = unknown_codes(union_all([df.select(*S.CODE_DOMAINS) for df in frames.values()])).limit(1000).collect()
-    if codes:
-        found = sorted(f"{r['column']} {r['value']}" for r in codes)
-        raise ValueError("Source validation failed, invalid values: " + ", ".join(found))
+    codes = unknown_codes(union_all([df.select(*S.CODE_DOMAINS) for df in frames.values()]))
+    refuse_faults(codes.select(F.lit("unknown_code").alias("rule"), "column", F.col("value").alias("detail")))
 
     now = processing_time or session_clock(spark)
     halves = [transform_trips(df, *periods[source], source, now) for source, df in frames.items()]
     processed, rejected = (union_all(list(half)) for half in zip(*halves))
     raw = union_all([df.select(F.lit(source).alias("source_file")) for source, df in frames.items()])
-    staged = sinks.staging_path(out)
+    run = sinks.new_run(out)
     try:
-        sinks.stage_half(processed, f"{staged}/processed")
-        sinks.stage_half(rejected, f"{staged}/rejected")
-        written = {
-            half: spark.read.schema(rows.schema).parquet(f"{staged}/{half}")
-            for half, rows in zip(sinks.HALVES, (processed, rejected))
-        }
+        written = {}
+        for half, rows in zip(sinks.HALVES, (processed, rejected)):
+            sinks.write_half(rows, f"{run}/{half}")
+            written[half] = spark.read.schema(rows.schema).parquet(f"{run}/{half}")
         summary = quality_by_source(written["processed"], written["rejected"], raw)
         rows = summary.collect()  # seventeen rows per source file
-        schema = summary.schema
+        result = spark.createDataFrame(rows, summary.schema)
         empty = sorted(set(sources) - {r["source_file"] for r in rows})
         if empty:
             raise ValueError(f"Dataset is empty: {empty}")
-        for half, like in zip(sinks.HALVES, (processed, rejected)):
-            sinks.promote_half(spark, f"{staged}/{half}", out, half, like, sources)
-        result = spark.createDataFrame(rows, schema)
-        sinks.write_quality_reports(result, out, sources)
-    finally:
-        sinks.drop_staging(spark, staged)
+        sinks.write_quality_reports(result, f"{run}/quality")
+        none = {
+            half: sinks.write_empty(spark, like, f"{run}/none_{half}")
+            for half, like in zip(sinks.HALVES, (processed, rejected))
+            if any(r["metric"] == f"{half}_rows" and not r["count"] for r in rows)
+        }
+        counts = {(r["source_file"], r["metric"]): r["count"] for r in rows}
+        for source in sources:
+            paths = {
+                half: sinks.source_folder(f"{run}/{half}", source) if counts[source, f"{half}_rows"] else none[half]
+                for half in sinks.HALVES
+            }
+            sinks.point_to(spark, out, source, {**paths, "quality": sinks.source_folder(f"{run}/quality", source)})
+    except Exception:
+        # Sources already pointed to this run keep it.
+        if not any(run in p for s in sources for p in sinks.current(spark, out, s).values()):
+            sinks.drop_run(spark, run)
+        raise
     return result
+
+
+def clean_new_months(
+    spark: SparkSession, folder: str, out: str, processing_time: datetime | str | None = None
+) -> DataFrame | None:
+    """Clean only the months of a folder that have no finished result yet; None if there are none.
+
+    What is finished is read off the pointers, not off the data.
+    """
+    names = [(base_name(p),) for p in month_paths(spark, folder)]
+    listing = spark.createDataFrame(names, "file_name string")
+    pending = landing.pending_files(listing, sinks.finished_sources(spark, out))
+    new = sorted(r["file_name"] for r in pending.collect())  # a name per month
+    return clean_months(spark, folder, out, processing_time, new) if new else None

@@ -124,19 +124,22 @@ def landed_month(spark: SparkSession, sf_dir: str) -> str:
     return f"{_landed(spark, sf_dir, 'month', write)}/{MONTH_FILE}"
 
 
-# All trips of one vendor each.
+# Months by vendor; the last one takes every row that no other takes.
 VENDOR_MONTHS = {
     1: "yellow_tripdata_2024-01.parquet",
     2: "yellow_tripdata_2024-02.parquet",
-    6: "yellow_tripdata_2024-03.parquet",
+    None: "yellow_tripdata_2024-03.parquet",
 }
 
 
 def landed_months(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of three months that together hold all trips, those of one vendor each."""
+    """Folder of three months that together hold all trips, whatever their vendor."""
+    vendor = F.col("VendorID")
+    named = [v for v in VENDOR_MONTHS if v is not None]
 
     def write(folder: str) -> None:
-        for vendor, name in VENDOR_MONTHS.items():
-            trips(spark, sf_dir).where(F.col("VendorID") == vendor).write.parquet(f"{folder}/{name}")
+        for own, name in VENDOR_MONTHS.items():
+            rest = vendor.isNull() | ~vendor.isin(named)
+            trips(spark, sf_dir).where(rest if own is None else vendor == own).write.parquet(f"{folder}/{name}")
 
-    return _landed(spark, sf_dir, "months", write)
+    return _landed(spark, sf_dir, "months by vendor", write)

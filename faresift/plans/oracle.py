@@ -132,21 +132,17 @@ def summary_sql(prefix: str, raw: str) -> str:
 
 
 def summary_by_source_sql() -> str:
-    n = ["SELECT source_file, 'raw_rows' AS metric, count(*) AS n FROM sourced GROUP BY 1"]
-    for h in ("processed", "rejected"):
-        n.append(
-            f"SELECT s.source_file, '{h}_rows', (SELECT count(*) FROM {h} h WHERE h.source_file = s.source_file) "
-            "FROM (SELECT DISTINCT source_file FROM sourced) s"
-        )
-    n += [
-        f"SELECT source_file, '{f}', {count_if(f)} FROM processed GROUP BY source_file" for f in S.QUALITY_FLAGS
-    ]
-    share = pct("c.n", "t.n", 4)
-    return (
-        f"{BY_VENDOR}, counted AS ({' UNION ALL '.join(n)}) SELECT c.source_file, c.metric, "
-        f'CAST(c.n AS BIGINT) AS "count", {share} AS percentage_of_raw FROM counted c '
-        "JOIN (SELECT source_file, n FROM counted WHERE metric = 'raw_rows') t USING (source_file)"
-    )
+    """One grouping pass over all rows, kept and rejected, laid out as rows by an unpivot."""
+    flags = ", ".join(f"{count_if(f)} AS {f}" for f in S.QUALITY_FLAGS)
+    none = ", ".join(f"NULL::BOOLEAN AS {f}" for f in S.QUALITY_FLAGS)
+    metrics = ", ".join(["raw_rows", "processed_rows", "rejected_rows", *S.QUALITY_FLAGS])
+    return f"""{BY_VENDOR}, rows AS (
+  SELECT source_file, true AS kept, {', '.join(S.QUALITY_FLAGS)} FROM processed
+  UNION ALL SELECT source_file, false, {none} FROM rejected),
+counted AS (SELECT source_file, count(*) AS whole, count(*) AS raw_rows, {count_if('kept')} AS processed_rows,
+  {count_if('NOT kept')} AS rejected_rows, {flags} FROM rows GROUP BY source_file),
+long AS (UNPIVOT counted ON {metrics} INTO NAME metric VALUE n)
+SELECT source_file, metric, CAST(n AS BIGINT) AS "count", {pct('n', 'whole', 4)} AS percentage_of_raw FROM long"""
 
 
 def describe_sql(prefix: str, source: str, columns: list[str], percentiles: list[float], named: bool = True) -> str:
@@ -177,7 +173,9 @@ def histogram_sql(column: str, low: str | None, high: str | None, bins: int = 10
     limits = " AND ".join(c for c in (f"x >= {low}" if low else "", f"x <= {high}" if high else "") if c)
     edge = lambda i: f"CASE WHEN {i} = {bins} THEN hi ELSE {i} * ((hi - lo)/{bins}.0::DOUBLE) + lo END"
     return f"""{EDA}, xs AS (SELECT {column} AS x FROM eda WHERE {column} IS NOT NULL),
-kept AS (SELECT x FROM xs WHERE {limits}), span AS (SELECT min(x) AS lo, max(x) AS hi FROM kept),
+kept AS (SELECT x FROM xs WHERE {limits}), 
+span AS (SELECT coalesce(CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END, 0) AS lo,
+  coalesce(CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END, 1) AS hi FROM kept),
 edges AS (SELECT i AS bin, {edge('i')} AS lower, {edge('(i + 1)')} AS upper FROM range({bins}) t(i), span)
 SELECT e.bin, {r('lower', 6)} AS lower, {r('upper', 6)} AS upper, count(x) AS "count"
 FROM edges e LEFT JOIN kept ON x >= lower AND (x < upper OR (e.bin = {bins - 1} AND x <= upper))
@@ -424,20 +422,15 @@ SELECT file_name, month FROM months WHERE file_name NOT IN (SELECT {order_file}
         "check_domains": f'{FAULTY} SELECT "column", value FROM coded',
         "validate_source": f"{FAULTY} {violation('unexpected_column', 'cbd_congestion_fee', SURPLUS)} "
         f"UNION ALL {UNKNOWN}",
-        "domain_report": f"""{FAULTY}, codes AS (SELECT DISTINCT "column", code, documented FROM whole WHERE code IS NOT NULL)
-SELECT "column", string_agg(CAST(code AS VARCHAR), ',' ORDER BY code) AS observed,
-  coalesce(string_agg(CAST(code AS VARCHAR), ',' ORDER BY code) FILTER (WHERE NOT documented), '') AS unknown_observed,
-  bool_and(documented) AS all_documented FROM codes GROUP BY 1""",
+        "domain_report": f"""{FAULTY}, codes AS (SELECT "column", code, count(*) AS rows, documented FROM whole
+  WHERE code IS NOT NULL GROUP BY ALL)
+SELECT *, bool_and(documented) OVER (PARTITION BY "column") AS all_documented FROM codes""",
         "observed_codes": f'{FAULTY} SELECT "column", code, count(*) AS rows, documented FROM whole '
         "WHERE code IS NOT NULL GROUP BY ALL",
-        "string_domain_report": f"""{FAULTY}, v AS (SELECT DISTINCT store_and_fwd_flag AS x FROM faulty)
-SELECT (SELECT string_agg(x, ',' ORDER BY x) FROM v WHERE x IS NOT NULL) AS non_null_values,
-  (SELECT coalesce(string_agg(x, ',' ORDER BY x), '') FROM v WHERE x NOT IN ('Y', 'N')) AS outside_allowed,
-  (SELECT count(*) FROM faulty WHERE store_and_fwd_flag IS NULL) AS missing_rows""",
-        "order_status_report": """WITH v AS (SELECT DISTINCT o_orderstatus AS x FROM orders)
-SELECT (SELECT string_agg(x, ',' ORDER BY x) FROM v WHERE x IS NOT NULL) AS non_null_values,
-  (SELECT coalesce(string_agg(x, ',' ORDER BY x), '') FROM v WHERE x NOT IN ('F', 'O')) AS outside_allowed,
-  (SELECT count(*) FROM orders WHERE o_orderstatus IS NULL) AS missing_rows""",
+        "string_domain_report": f"""{FAULTY} SELECT store_and_fwd_flag AS value, count(*) AS rows,
+  coalesce(store_and_fwd_flag NOT IN ('Y', 'N'), false) AS is_outside FROM faulty GROUP BY ALL""",
+        "order_status_report": """SELECT o_orderstatus AS value, count(*) AS rows,
+  coalesce(o_orderstatus NOT IN ('F', 'O'), false) AS is_outside FROM orders GROUP BY ALL""",
         "period_bounds": """SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
   date_trunc('month', o_orderdate)::TIMESTAMP AS reporting_start,
   date_trunc('month', o_orderdate)::TIMESTAMP + INTERVAL 1 MONTH AS reporting_end,
@@ -513,6 +506,8 @@ SELECT * FROM m WHERE missing > 0""",
             "total_amount", "(SELECT quantile_cont(x, 0.005) FROM xs)", "(SELECT quantile_cont(x, 0.995) FROM xs)"
         ),
         "speed_histogram": histogram_sql("speed", "0", "(SELECT quantile_cont(x, 0.999) FROM xs)"),
+        "histogram_of_one_value": histogram_sql("extra", "4.4", "5.4"),
+        "histogram_of_no_value": histogram_sql("extra", "100", "200"),
         "duration_checks": f"{EDA} {counts(DURATIONS, 'eda')}",
         "duration_hours_checks": f"{EDA} SELECT {count_if('hours > 24')} AS over_24_hours, {count_if('hours > 6')} AS over_6_hours, "
         f"{r('max(hours)', 6)} AS max_hours, {count_if(f'{D} < {P}')} AS dropoff_before_pickup FROM eda",

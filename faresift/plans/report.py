@@ -5,12 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faresift import schema as S
 from faresift.functions import conditions as C
 from faresift.operators import diagnostics as D
 from faresift.operators import gate, profiling
-from faresift.operators.cleaning import resolve_processing_time
+from faresift.operators.cleaning import period_bounds, resolve_processing_time
 from faresift.operators.metrics import grouped_count_metrics
 from faresift.operators.quantiles import quantiles
 from faresift.sources.trips import file_inventory, read_month, require_source
@@ -65,16 +66,35 @@ def measure_quantiles(df: DataFrame) -> DataFrame:
 
 
 def exploratory_report(
-    df: DataFrame, year: int, month: int, processing_time: datetime | str | None = None
+    df: DataFrame,
+    year: int,
+    month: int,
+    processing_time: datetime | str | None = None,
+    position: str | None = None,
 ) -> dict[str, DataFrame]:
     """All exploratory queries over one month of trips, by name; each runs when it is asked for.
 
     Counts that need nothing but the row are fused into ``check_counts``, so they cost one scan
     together. ``df`` may be persisted by the caller if it fits; nothing here requires it.
+    ``position`` names a column with the place of each row in the source (see ``with_position``); the
+    preview and the segment's contiguity are reported only where there is one.
     """
+    placed = {}
+    if position:
+        placed = {
+            "preview": profiling.preview(df, position),
+            "segment_contiguity": D.segment_contiguity(df, position),
+        }
+        df = df.drop(position)
+    start, end = (bound for name, bound in period_bounds(F.lit(year), F.lit(month)).items() if name != "trusted_start")
     now = resolve_processing_time(df.sparkSession, processing_time)
     measured = profiling.with_measures(df)
     return {
+        **placed,
+        "period_outliers": profiling.period_outliers(df, start, end),
+        "passenger_value_counts": profiling.value_counts(df, "passenger_count", keep_nulls=True, order="value"),
+        "near_24h_rows": D.near_24h_rows(df),
+        "date_issue_unexplained": D.date_issue_listing(df, year, month, now, unexplained_only=True),
         "dataset_shape": profiling.dataset_shape(df),
         "column_profile": profiling.column_profile(df),
         "describe_numeric": profiling.describe_numeric(df),

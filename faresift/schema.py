@@ -50,21 +50,6 @@ PAYMENT_LABELS = {
     5: "Unknown",
     6: "Voided trip",
 }
-VENDOR_LABELS = {
-    1: "Creative Mobile Technologies, LLC",
-    2: "Curb Mobility, LLC",
-    6: "Myle Technologies Inc",
-    7: "Helix",
-}
-RATE_LABELS = {
-    1: "Standard rate",
-    2: "JFK",
-    3: "Newark",
-    4: "Nassau or Westchester",
-    5: "Negotiated fare",
-    6: "Group ride",
-    99: "Null/unknown",
-}
 PAYMENT_SLUGS = {
     0: "flex_fare",
     1: "credit_card",

@@ -1,14 +1,15 @@
 """Writing the outputs of cleaned months.
 
-Rows are staged first and promoted only after the counts of what was really written reconcile,
-so a failed run leaves earlier results as they were. Executors lost on the way only cost retries:
-each staged write is one Spark commit.
+Every run writes into a folder of its own and nothing there is ever moved. What is current for a source
+is said by one small pointer file, replaced as the last step, after the counts of what was really
+written reconcile. A run that dies at any point leaves the pointer, and so both halves and the report, as
+they were. Executors lost on the way only cost retries: each write is one Spark commit.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,99 +17,102 @@ from pyspark.sql import functions as F
 from faresift.session import hadoop_path
 
 HALVES = ("processed", "rejected")
-PROMOTERS = 16
+QUALITY_SCHEMA = "metric string, count bigint, percentage_of_raw double"
 
 
-def stem_of(source_file: str) -> str:
-    return source_file.removesuffix(".parquet")
+def new_run(out: str) -> str:
+    return f"{out.rstrip('/')}/runs/{uuid.uuid4().hex}"
 
 
-def output_path(out: str, half: str, source_file: str) -> str:
-    return f"{out.rstrip('/')}/{half}/{stem_of(source_file)}_{half}.parquet"
+def _pointer(out: str, source_file: str) -> str:
+    return f"{out.rstrip('/')}/current/{source_file}.json"
 
 
-def quality_path(out: str, source_file: str) -> str:
-    return f"{out.rstrip('/')}/quality/{stem_of(source_file)}_quality"
+def current(spark: SparkSession, out: str, source_file: str) -> dict[str, str]:
+    """Paths of both halves and the quality report of a source; empty if it has none yet."""
+    place, fs = hadoop_path(spark, _pointer(out, source_file))
+    if not fs.exists(place):
+        return {}
+    stream = fs.open(place)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
 
 
-def staging_path(out: str) -> str:
-    """A new staging folder next to the results, so that promoting is a rename, not a copy."""
-    return f"{out.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+def finished_sources(spark: SparkSession, out: str) -> DataFrame:
+    """(file_name): sources with a finished result, from a listing of the pointers."""
+    pattern, fs = hadoop_path(spark, _pointer(out, "*"))
+    names = [s.getPath().getName().removesuffix(".json") for s in fs.globStatus(pattern) or []]
+    return spark.createDataFrame([(n,) for n in names], "file_name string")
 
 
-def stage_half(half: DataFrame, path: str) -> None:
-    """Write one half with a folder per source file, without a shuffle.
+def point_to(spark: SparkSession, out: str, source_file: str, paths: dict[str, str]) -> None:
+    """Make these paths the current result of a source: written aside, then renamed over the pointer."""
+    place, fs = hadoop_path(spark, _pointer(out, source_file))
+    aside, _ = hadoop_path(spark, f"{_pointer(out, source_file)}.{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(json.dumps(paths).encode()))
+    finally:
+        stream.close()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri()).rename(aside, place, over)
 
-    A task only writes the rows it read, so a month of any size is written by as many tasks as
-    read it. The folder column is a copy: ``source_file`` itself stays in the files.
-    """
-    half.withColumn("_source", F.col("source_file")).write.partitionBy("_source").mode("overwrite").parquet(path)
 
+def drop_run(spark: SparkSession, run: str) -> None:
+    place, fs = hadoop_path(spark, run)
+    fs.delete(place, True)
 
-def promote(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a staged folder in place of the target, keeping the old one until the new one is there."""
-    new, fs = hadoop_path(spark, staged)
-    place, _ = hadoop_path(spark, target)
-    old, _ = hadoop_path(spark, f"{target}._old")
-    fs.mkdirs(place.getParent())
-    if fs.exists(place):
-        fs.delete(old, True)
-        if not fs.rename(place, old):
-            raise OSError(f"Could not set {target} aside")
-    if not fs.rename(new, place):
-        raise OSError(f"Could not promote {staged} to {target}")
-    fs.delete(old, True)
 
+def write_empty(spark: SparkSession, like: DataFrame, path: str) -> str:
+    """A file without rows in the schema of a frame, for a half that got none."""
+    spark.createDataFrame([], like.schema).coalesce(1).write.parquet(path)
+    return path
 
-def promote_half(spark: SparkSession, staged: str, out: str, half: str, like: DataFrame, sources: list[str]) -> None:
-    """Promote one half of every source; a source without rows gets an empty file with the schema.
 
-    Without that, a rerun that rejects nothing would leave the rejects of an earlier run in place.
-    """
-    def one(source: str) -> None:
-        folder = f"{staged}/_source={_escaped(spark, source)}"
-        place, fs = hadoop_path(spark, folder)
-        if not fs.exists(place):
-            like.limit(0).write.mode("overwrite").parquet(folder)
-        promote(spark, folder, output_path(out, half, source))
+def write_half(half: DataFrame, path: str) -> None:
+    """Write one half with a folder per source file, without a shuffle.
 
-    with ThreadPoolExecutor(PROMOTERS) as pool:
-        list(pool.map(one, sources))
+    A task only writes the rows it read, so a month of any size is written by as many tasks as
+    read it. The folder column is a copy: ``source_file`` itself stays in the files.
+    """
+    half.withColumn("_source", F.col("source_file")).write.partitionBy("_source").parquet(path)
 
 
-def _escaped(spark: SparkSession, value: str) -> str:
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+def source_folder(path: str, source_file: str) -> str:
+    """Folder of a source below a half; names of months need no escapes."""
+    return f"{path}/_source={source_file}"
 
 
-def drop_staging(spark: SparkSession, staged: str) -> None:
-    place, fs = hadoop_path(spark, staged)
-    fs.delete(place, True)
+def exists(spark: SparkSession, path: str) -> bool:
+    place, fs = hadoop_path(spark, path)
+    return fs.exists(place)
 
 
 def write_outputs(processed: DataFrame, rejected: DataFrame, out: str, source_file: str) -> dict[str, str]:
-    """Write both halves of one month in place of earlier ones; no rows leave an empty file with the schema."""
-    paths = {half: output_path(out, half, source_file) for half in HALVES}
-    spark, staged = processed.sparkSession, staging_path(out)
+    """Write both halves of one month as its current result; no rows leave an empty file with the schema."""
+    run = new_run(out)
+    paths = {half: f"{run}/{half}" for half in HALVES}
     for half, rows in zip(HALVES, (processed, rejected)):
-        rows.write.mode("overwrite").parquet(f"{staged}/{half}")
-    for half in HALVES:
-        promote(spark, f"{staged}/{half}", paths[half])
-    drop_staging(spark, staged)
+        rows.write.parquet(paths[half])
+    point_to(processed.sparkSession, out, source_file, paths)
     return paths
 
 
-def write_quality(summary: DataFrame, path: str) -> None:
-    """Write a quality report (a fixed number of rows) as one CSV part with a header, metric first."""
-    columns = ["metric", *[c for c in summary.columns if c != "metric"]]
-    summary.select(*columns).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def _report(summary: DataFrame) -> DataFrame:
+    return summary.select("metric", *[c for c in summary.columns if c != "metric"]).coalesce(1)
 
 
-def write_quality_reports(summaries: DataFrame, out: str, sources: list[str]) -> None:
-    """Write the quality report of each source from a frame that holds them all."""
+def write_quality(summary: DataFrame, path: str) -> None:
+    """Write a quality report (a fixed number of rows) as one CSV part with a header, metric first."""
+    _report(summary).write.mode("overwrite").option("header", True).csv(path)
 
-    def one(source: str) -> None:
-        report = summaries.where(F.col("source_file") == source).drop("source_file")
-        write_quality(report, quality_path(out, source))
 
-    with ThreadPoolExecutor(PROMOTERS) as pool:
-        list(pool.map(one, sources))
+def write_quality_reports(summaries: DataFrame, path: str) -> None:
+    """Write the quality reports of many sources in one job, a folder per source file."""
+    named = summaries.withColumnRenamed("source_file", "_source")
+    _report(named).write.partitionBy("_source").option("header", True).csv(path)

@@ -65,6 +65,12 @@ def with_position(df: DataFrame) -> DataFrame:
     )
 
 
+def first_rows(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """First ``n`` rows of a month by the place in its files; no column is read to find the places."""
+    placed = with_position(spark.read.parquet(path)).where(F.col("_metadata.row_index") < n)
+    return settle(placed.orderBy("source_path", "row_position").limit(n).drop("source_path", "row_position"))
+
+
 def with_reporting_period(df: DataFrame, strict: bool = True) -> DataFrame:
     """Add ``reporting_year`` and ``reporting_month`` read off ``source_file``.
 
@@ -113,17 +119,25 @@ def settle(df: DataFrame) -> DataFrame:
 
 def read_month(spark: SparkSession, path: str) -> DataFrame:
     """One month with the columns and types of its file, for the gate to judge."""
-    return settle(spark.read.parquet(path))
+    return settle(_whole_schema(spark, path))
+
+
+def _whole_schema(spark: SparkSession, path: str) -> DataFrame:
+    """A month with every column that any of its part files has; Spark reads all their footers in a job.
+
+    A folder's first footer alone would hide an extra column in another part.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def month_frames(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
     """One lazy frame per month by its name, each checked against the source schema on its own.
 
     A read of all paths at once would take the schema of one file and hide an extra column in
-    another. Only a footer per month is read here, several side by side.
+    another. The footers of all part files of a month are read by a Spark job, several months side by side.
     """
     with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        found = dict(zip(map(base_name, paths), pool.map(lambda p: spark.read.parquet(p), paths)))
+        found = dict(zip(map(base_name, paths), pool.map(lambda p: _whole_schema(spark, p), paths)))
     faults = [f"{name}: {rule} {column}" for name, df in found.items() for rule, column, _ in schema_violations(df.schema)]
     if faults:
         raise ValueError("Source validation failed:\n- " + "\n- ".join(faults))

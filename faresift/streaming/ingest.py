@@ -1,36 +1,79 @@
-"""Retry-safe landing of monthly files as a file stream."""
+"""Retry-safe landing of monthly files: a stream of file names, whose new files are checked and landed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faresift import schema as S
-from faresift.sources.trips import month_frames, month_paths, settle, with_lineage
+from faresift.functions.scalars import union_all
+from faresift.operators.gate import refuse_faults, schema_violations, unknown_codes
+from faresift.session import hadoop_path
+from faresift.sources.landing import pending_files
+from faresift.sources.trips import settle, source_name, typed, with_lineage
 
+FILES_PER_BATCH = 1000
 
-def trip_stream(spark: SparkSession, src: str, files_per_batch: int = 1000) -> DataFrame:
-    """New monthly files of a folder as a stream of trips with ``source_file``."""
-    stream = (
-        spark.readStream.schema(S.TRIP_SCHEMA)
+
+def file_stream(spark: SparkSession, src: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """(file_name, source_file) of new monthly files, or part files of monthly folders; contents are not read."""
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{src.rstrip('/')}/{S.FILE_PREFIX}*.parquet")
+        .option("pathGlobFilter", "*.parquet")
+        .load(f"{src.rstrip('/')}/{S.FILE_PREFIX}*.parquet")
     )
-    return with_lineage(settle(stream))
+    return found.select(F.col("path").alias("file_name"), source_name(F.col("path")).alias("source_file"))
+
+
+def _read(spark: SparkSession, files: dict[str, list[str]]) -> DataFrame:
+    """The files of each month in the types of the source schema, refused by name if they break its rules."""
+    found = {name: spark.read.option("mergeSchema", True).parquet(*own) for name, own in files.items()}
+    faults = [(rule, f"{name} {column}", detail) for name, df in found.items() for rule, column, detail in schema_violations(df.schema)]
+    if faults:
+        raise ValueError("Not landed, schema broken: " + "; ".join(f"{column}: {rule}" for rule, column, _ in faults))
+    months = {name: typed(settle(df)) for name, df in found.items()}
+    codes = [unknown_codes(df).withColumn("column", F.concat(F.lit(f"{name} "), "column")) for name, df in months.items()]
+    refuse_faults(union_all(codes).select(F.lit("unknown_code").alias("rule"), "column", F.col("value").alias("detail")))
+    return union_all([with_lineage(df, name) for name, df in months.items()])
 
 
-def ingest_incremental(spark: SparkSession, src: str, dst: str, checkpoint: str, files_per_batch: int = 1000) -> None:
-    """Append every monthly file that was not landed yet, once, and return when all are in.
+def ingest_incremental(
+    spark: SparkSession, src: str, dst: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH
+) -> None:
+    """Land every monthly file that was not landed yet, once, and return when all are in.
 
-    The checkpoint remembers the files taken and the sink's own log the batches committed, so a
-    rerun or a retry after a crash adds nothing twice. The checkpoint must lie in storage that
-    outlives the executors. Months that break the source schema stop the run before it starts.
+    The stream's checkpoint remembers the files taken. Each batch of new files is checked (schema of every
+    file, code domains), cast month by month and written to a folder of its own, which a retry
+    overwrites; a ledger of landed file names, written after it, keeps a file that shows up again from
+    being landed twice. Files landed before are not opened. A month that breaks a rule stops the run and
+    is named; earlier batches stay. The checkpoint must lie in storage that outlives the executors.
     """
-    month_frames(spark, month_paths(spark, src))
+    ledger_root = f"{checkpoint.rstrip('/')}/landed_files"
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        place, fs = hadoop_path(session, ledger_root)
+        ledger = (
+            session.read.schema("file_name string, batch bigint").parquet(ledger_root)
+            if fs.exists(place)
+            else session.createDataFrame([], "file_name string, batch bigint")
+        )
+        listing = pending_files(batch, ledger.where(F.col("batch") != batch_id))
+        files: dict[str, list[str]] = {}
+        for row in listing.collect():  # at most files_per_batch names
+            files.setdefault(row["source_file"], []).append(row["file_name"])
+        if not files:
+            return
+        _read(session, files).write.mode("overwrite").parquet(f"{dst.rstrip('/')}/batch={batch_id}")
+        names = session.createDataFrame([(f,) for own in files.values() for f in own], "file_name string")
+        names.coalesce(1).write.mode("overwrite").parquet(f"{ledger_root}/batch={batch_id}")
+
     query = (
-        trip_stream(spark, src, files_per_batch)
-        .writeStream.format("parquet")
-        .option("path", dst)
-        .option("checkpointLocation", checkpoint)
+        file_stream(spark, src, files_per_batch)
+        .writeStream.foreachBatch(land)
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream")
         .trigger(availableNow=True)
         .start()
     )

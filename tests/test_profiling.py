@@ -87,6 +87,29 @@ def test_histogram_between_quantiles(spark):
     assert [r["count"] for r in found] == counts.tolist()
 
 
+@pytest.mark.parametrize(
+    ("values", "low", "high", "counts"),
+    [([0.0, 5.0, 5.3, 9.0], 5.0, 5.1, [0, 1]), ([0.5, 0.2], 10.0, 20.0, [0, 0]), ([4.0, 4.0, 7.0], 3.0, 5.0, [0, 2])],
+)
+def test_histogram_counts_only_what_lies_inside_the_limits(spark, values, low, high, counts):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = profiling.histogram(df, "x", bins=2, low=low, high=high).orderBy("bin")
+    assert [r["count"] for r in found.collect()] == counts
+    kept = np.array([v for v in values if low <= v <= high])
+    assert counts == np.histogram(kept, bins=2)[0].tolist()
+
+
+def test_quantiles_of_crowded_values_and_of_whole_numbers_beyond_doubles(spark):
+    """Values within a hundredth of a per cent are cut into cells; whole numbers are never doubles on the way."""
+    crowd = spark.range(200_000).select((F.lit(1e9) + F.col("id") / 2.0).alias("x"))
+    found = {r["probability"]: r["quantile"] for r in quantiles(crowd, {"x": [0.25, 0.5, 1.0]}).collect()}
+    assert found == {0.25: 1e9 + 199_999 / 8, 0.5: 1e9 + 199_999 / 4, 1.0: 1e9 + 199_999 / 2}
+    big = spark.range(101).select((F.lit(2**60) + F.col("id") * 256).alias("x"))
+    assert quantiles(big, {"x": [0.5]}).first()["quantile"] == float(2**60 + 50 * 256)
+    near = spark.createDataFrame([(2**53 + 1,), (2**53 + 2,), (2**53 + 2,)], "x bigint")
+    assert quantiles(near, {"x": [0.5]}).first()["quantile"] == float(2**53 + 2)
+
+
 def test_histogram_of_nothing(spark):
     found = profiling.histogram(spark.createDataFrame([(None,)], "x double"), "x", bins=4).orderBy("bin").collect()
     assert [(r["lower"], r["upper"], r["count"]) for r in found] == [(0.0, 0.25, 0), (0.25, 0.5, 0), (0.5, 0.75, 0), (0.75, 1.0, 0)]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from faresift import schema as S
 from faresift.operators.diagnostics import segment_contiguity
 from faresift.plans import report
-from faresift.plans.clean import clean_month, clean_months
+from faresift.plans import clean
+from faresift.plans.clean import clean_month, clean_months, clean_new_months
 from faresift.sources import landing, sinks
 from faresift.sources import trips as source
 from faresift.streaming.ingest import ingest_incremental
@@ -124,25 +125,70 @@ def test_segment_position_in_the_file(spark, tmp_path):
     assert none["segment_rows"] == 0 and none["first_position"] is None and none["contiguous"] is None
 
 
+def test_first_rows_of_a_month_in_several_files(spark, tmp_path):
+    (tmp_path / JAN).mkdir()
+    save(tmp_path / JAN / "b.parquet", *[{"extra": float(i)} for i in range(10, 20)])
+    save(tmp_path / JAN / "a.parquet", {"extra": 1.0}, {"extra": 2.0})
+    assert [r["extra"] for r in source.first_rows(spark, str(tmp_path / JAN), 4).collect()] == [1.0, 2.0, 10.0, 11.0]
+
+
 def test_clean_month_writes_reconciled_outputs(spark, tmp_path):
     path = save(tmp_path / JAN, {}, {"trip_distance": 0.0}, {S.PICKUP: datetime(2002, 12, 31)})
     out = str(tmp_path / "out")
     summary = {r["metric"]: r["count"] for r in clean_month(spark, path, out, NOW).collect()}
     assert (summary["raw_rows"], summary["processed_rows"], summary["rejected_rows"]) == (3, 2, 1)
     assert summary["has_zero_distance"] == 1
-    processed = spark.read.parquet(sinks.output_path(out, "processed", JAN))
+    paths = sinks.current(spark, out, JAN)
+    processed = spark.read.parquet(paths["processed"])
     assert len(processed.columns) == 36 and processed.count() == 2
     assert {r["source_file"] for r in processed.collect()} == {JAN}
-    csv = spark.read.csv(sinks.quality_path(out, JAN), header=True)
+    csv = spark.read.csv(paths["quality"], header=True)
     assert csv.columns == ["metric", "count", "percentage_of_raw"] and csv.count() == 17
 
     # A rerun without rejects must not leave the earlier ones in place.
     save(tmp_path / JAN, {})
     spark.catalog.refreshByPath(path)
     clean_month(spark, path, out, NOW)
-    rejected = spark.read.parquet(sinks.output_path(out, "rejected", JAN))
+    rejected = spark.read.parquet(sinks.current(spark, out, JAN)["rejected"])
     assert rejected.count() == 0 and len(rejected.columns) == 21
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["_staging", "processed", "quality", "rejected"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["current", "runs"]
+
+
+STEPS = ["write_half", "write_quality_reports", "write_empty", "point_to"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_failure_between_any_steps_leaves_the_earlier_result(spark, tmp_path, monkeypatch, step):
+    save(tmp_path / JAN, {}, {S.PICKUP: None})
+    out = str(tmp_path / "out")
+    clean_months(spark, str(tmp_path), out, NOW)
+    before = sinks.current(spark, out, JAN)
+    rows = {half: spark.read.parquet(before[half]).count() for half in sinks.HALVES}
+
+    save(tmp_path / JAN, {}, {}, {})
+    spark.catalog.refreshByPath(str(tmp_path))
+
+    def broken(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(clean.sinks, step, broken)
+    with pytest.raises(OSError, match="lost"):
+        clean_months(spark, str(tmp_path), out, NOW)
+    assert sinks.current(spark, out, JAN) == before
+    assert {half: spark.read.parquet(before[half]).count() for half in sinks.HALVES} == rows
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 1
+
+
+def test_only_new_months_are_cleaned(spark, tmp_path):
+    save(tmp_path / JAN, {})
+    out = str(tmp_path / "out")
+    assert clean_new_months(spark, str(tmp_path), out, NOW).select("source_file").distinct().count() == 1
+    first = sinks.current(spark, out, JAN)
+    assert clean_new_months(spark, str(tmp_path), out, NOW) is None
+    save(tmp_path / FEB, in_february())
+    again = clean_new_months(spark, str(tmp_path), out, NOW)
+    assert {r["source_file"] for r in again.collect()} == {FEB}
+    assert sinks.current(spark, out, JAN) == first and sinks.current(spark, out, FEB)
 
 
 def test_failed_month_writes_nothing(spark, tmp_path):
@@ -163,7 +209,7 @@ def test_clean_months_equals_month_by_month(spark, tmp_path):
         mine = summary.where(F.col("source_file") == name).drop("source_file")
         assert mine.collect() == one.collect()
         for half in sinks.HALVES:
-            a, b = (spark.read.parquet(sinks.output_path(o, half, name)) for o in (together, alone))
+            a, b = (spark.read.parquet(sinks.current(spark, o, name)[half]) for o in (together, alone))
             assert a.columns == b.columns
             assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
@@ -173,7 +219,7 @@ def test_clean_months_without_any_rejects(spark, tmp_path):
     out = str(tmp_path / "out")
     summary = {r["metric"]: r["count"] for r in clean_months(spark, str(tmp_path), out, NOW).collect()}
     assert (summary["processed_rows"], summary["rejected_rows"]) == (1, 0)
-    rejected = spark.read.parquet(sinks.output_path(out, "rejected", JAN))
+    rejected = spark.read.parquet(sinks.current(spark, out, JAN)["rejected"])
     assert rejected.count() == 0 and len(rejected.columns) == 21
 
 
@@ -183,9 +229,9 @@ def test_clean_months_refuses_an_empty_month_and_unknown_codes(spark, tmp_path):
     with pytest.raises(ValueError, match="empty.*2024-02"):
         clean_months(spark, str(tmp_path), str(tmp_path / "out"), NOW)
     save(tmp_path / FEB, in_february(RatecodeID=7.0))
-    with pytest.raises(ValueError, match="RatecodeID 7.0"):
+    with pytest.raises(ValueError, match="unknown_code RatecodeID"):
         clean_months(spark, str(tmp_path), str(tmp_path / "out"), NOW)
-    assert not (tmp_path / "out" / "processed").exists()
+    assert not sinks.current(spark, str(tmp_path / "out"), JAN)
 
 
 def test_pending_and_missing(spark):
@@ -211,11 +257,43 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(dst).where(F.isnan("trip_distance")).count() == 0
 
 
+def test_ingest_takes_months_of_other_number_types_and_part_files(spark, tmp_path):
+    src, dst, checkpoint = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "checkpoint")
+    (src / FEB).mkdir(parents=True)
+    save(src / JAN, {"passenger_count": 4}, passenger_count=pa.int64(), VendorID=pa.int64())
+    save(src / FEB / "part-0.parquet", {}, {})
+    for _ in range(2):
+        ingest_incremental(spark, str(src), dst, checkpoint)
+    landed = spark.read.parquet(dst)
+    assert dict(landed.dtypes)["passenger_count"] == "double"
+    assert {r[0]: r[1] for r in landed.groupBy("source_file").count().collect()} == {JAN: 1, FEB: 2}
+
+
+def test_ingest_names_a_month_with_unknown_codes(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    save(src / JAN, {"payment_type": 9})
+    with pytest.raises(Exception, match=f"{JAN} payment_type"):
+        ingest_incremental(spark, str(src), str(tmp_path / "dst"), str(tmp_path / "checkpoint"))
+
+
+def test_an_odd_part_file_of_a_month_fails_the_gate_and_the_ingest(spark, tmp_path):
+    (tmp_path / "src" / JAN).mkdir(parents=True)
+    save(tmp_path / "src" / JAN / "a.parquet", {})
+    save(tmp_path / "src" / JAN / "b.parquet", {}, cbd_congestion_fee=pa.float64())
+    with pytest.raises(ValueError, match="cbd_congestion_fee"):
+        clean_month(spark, str(tmp_path / "src" / JAN), str(tmp_path / "out"), NOW)
+    with pytest.raises(ValueError, match="cbd_congestion_fee"):
+        source.read_trips(spark, str(tmp_path / "src"))
+    with pytest.raises(Exception, match="cbd_congestion_fee"):
+        ingest_incremental(spark, str(tmp_path / "src"), str(tmp_path / "dst"), str(tmp_path / "checkpoint"))
+
+
 def test_ingest_stops_at_a_file_that_breaks_the_schema(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
     save(src / JAN, {}, cbd_congestion_fee=pa.float64())
-    with pytest.raises(ValueError, match="cbd_congestion_fee"):
+    with pytest.raises(Exception, match="cbd_congestion_fee"):
         ingest_incremental(spark, str(src), str(tmp_path / "dst"), str(tmp_path / "checkpoint"))
 
 
@@ -224,5 +302,10 @@ def test_profile_and_report_run_whole(spark, tmp_path):
     profile = report.profile_source(spark, path)
     assert profile["dataset_shape"].first()["rows"] == 3
     assert {r["column"] for r in profile["missing_counts"].collect()} == set(S.BLOCK_COLUMNS)
-    for frame in report.exploratory_report(source.read_trips(spark, path), 2024, 1, NOW).values():
+    df = source.with_position(source.read_trips(spark, path)).drop("source_path")
+    found = report.exploratory_report(df, 2024, 1, NOW, position="row_position")
+    for frame in found.values():
         frame.collect()
+    wanted = {"preview", "segment_contiguity", "period_outliers", "passenger_value_counts", "near_24h_rows", "date_issue_unexplained"}
+    assert wanted <= set(found) and len(found) == 42
+    assert found["segment_contiguity"].first()["first_position"] == 1
