@@ -4,6 +4,10 @@ A fingerprint is cut into three segments. Fingerprints that differ in at most fo
 most one bit of one of the first two segments, or agree in the third: otherwise they would differ in
 2 + 2 + 1 bits. So the small Hamming balls around the first two segments and the plain third segment
 are looked up in the segment table, and whole distances are verified inside the join.
+
+A group of near copies has fingerprints all over a small ball. So that not every pair of them becomes a row,
+neighbours in one bit are joined first, each by a lookup of the whole fingerprint; the segment table then only
+has to give links between the parts found so.
 """
 
 from __future__ import annotations
@@ -91,24 +95,43 @@ def _probe(k: int) -> Column:
     return F.concat(same, ball)
 
 
+def neighbours(fps: DataFrame) -> DataFrame:
+    """(a, b): fingerprints of column ``fp`` that differ in one bit; each lookup meets one row at most."""
+    bits = F.array(*[F.lit(np.uint64(1 << b).astype(np.int64).item()) for b in range(BITS)])
+    free = F.filter(bits, lambda bit: F.col("fp").bitwiseAND(bit) == 0)
+    probes = fps.select(F.col("fp").alias("a"), F.explode(F.transform(free, lambda bit: F.col("fp").bitwiseOR(bit))).alias("b"))
+    return probes.join(fps.select(F.col("fp").alias("b")), "b").select("a", "b")
+
+
 def links(fps: DataFrame) -> DataFrame:
-    """(a, b): distinct fingerprints of column ``fp`` that differ in 1 to DISTANCE bits."""
-    table = fps.select(F.explode(F.array(*[_key(k, _segment("fp", k)) for k in range(3)])).alias("key"), F.col("fp").alias("b"))
-    probes = fps.select(F.explode(F.concat(*[_probe(k) for k in range(3)])).alias("p"), F.col("fp").alias("a"))
-    probes = probes.select("p.key", "p.same", "a")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE
-    once = (F.col("a") < F.col("b")) | (~F.col("same") & (F.col("a") != F.col("b")))
-    found = probes.join(table, "key").filter(once & near)
+    """(a, b): different parts with fingerprints that differ in 1 to DISTANCE bits, from (fp, part)."""
+    table = fps.select(
+        F.explode(F.array(*[_key(k, _segment("fp", k)) for k in range(len(SEGMENTS))])).alias("key"),
+        F.col("fp").alias("fp_b"),
+        F.col("part").alias("b"),
+    )
+    probes = fps.select(
+        F.explode(F.concat(*[_probe(k) for k in range(len(SEGMENTS))])).alias("p"), F.col("fp").alias("fp_a"), F.col("part").alias("a")
+    ).select("p.key", "p.same", "fp_a", "a")
+    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= DISTANCE
+    once = (F.col("fp_a") < F.col("fp_b")) | ~F.col("same")
+    found = probes.join(table, "key").filter((F.col("a") != F.col("b")) & once & near)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _rooted(fps: DataFrame, pairs: DataFrame, at: str) -> DataFrame:
+    """fps with column ``at`` replaced by the root that pairs give it, if any."""
+    roots = components(pairs, "a", "b")
+    return fps.join(roots, fps[at] == roots.node, "left").withColumn(at, F.coalesce("root", at)).drop("node", "root")
+
+
 def _grouped(marked: DataFrame) -> DataFrame:
     """(fp, component_id) of all fingerprints of a materialised (doc_id, fp)."""
     fps = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = components(links(fps), "a", "b")
-    rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    parts = materialise(_rooted(fps.withColumn("part", F.col("fp")), neighbours(fps), "part"), "parts")
+    rooted = materialise(_rooted(parts, links(parts), "part"), "rooted")
+    least = materialise(rooted.groupBy("part").agg(F.min("least").alias("component_id")), "least-ids")
+    return rooted.join(least, "part").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
