@@ -109,6 +109,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
     keys = ["group_pid", "group_run"]
     groups = rows.groupBy(*keys).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join deals both sides anew and a large group's rows can be split over tasks.
+    groups = materialise(groups, "groups")
     return rows.join(groups, keys).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256")
     )
