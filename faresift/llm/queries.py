@@ -108,27 +108,34 @@ ORACLE_SQL: dict[str, str] = {
                 CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h
             FROM u
         ), n AS (
-            SELECT *, coalesce(lag(h) OVER o, 0) AS before, lead(words) OVER o AS after FROM w
-            WINDOW o AS (PARTITION BY doc_id ORDER BY i)
-        ), e AS (
-            SELECT *, after IS NULL OR words = 0 OR words >= 50 OR after = 0 OR after >= 50
-                OR (before * 31 + h) % 8 = 0 AS ends
+            SELECT *, sum(words) OVER o AS upto,
+                lag(words) OVER o AS w0, lag(h) OVER o AS h0, lead(words) OVER o AS w1, lead(h) OVER o AS h1
+            FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ), b AS (
+            SELECT *,
+                words > 0 AND (w0 IS NULL OR words >= 50 OR w0 >= 50 OR w0 = 0 OR (h0 * 31 + h) % 4 = 0) AS starts,
+                words > 0 AND (w1 IS NULL OR words >= 50 OR w1 >= 50 OR w1 = 0 OR (h * 31 + h1) % 4 = 0) AS ends
             FROM n
-        ), c AS (
-            SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (
-                PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-            FROM e
+        ), s AS (
+            SELECT a.doc_id, a.i AS first, min(z.i) AS last FROM b a JOIN n z ON a.doc_id = z.doc_id
+                AND z.i BETWEEN a.i AND a.i + 199 AND z.upto - a.upto + a.words >= 50
+            WHERE a.starts GROUP BY a.doc_id, a.i
+            UNION
+            SELECT z.doc_id, max(a.i), z.i FROM b z JOIN n a ON a.doc_id = z.doc_id
+                AND a.i BETWEEN z.i - 199 AND z.i AND z.upto - a.upto + a.words >= 50
+            WHERE z.ends GROUP BY z.doc_id, z.i
         ), k AS (
-            SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, sum(words) AS words
-            FROM c GROUP BY doc_id, chunk
+            SELECT s.doc_id, first, last, string_agg(line, chr(10) ORDER BY i) AS body
+            FROM s JOIN w ON s.doc_id = w.doc_id AND i BETWEEN first AND last GROUP BY ALL
         ), r AS (
-            SELECT doc_id, chunk, words >= 50
-                AND row_number() OVER (PARTITION BY body, words >= 50 ORDER BY doc_id, chunk) > 1 AS gone
-            FROM k
+            SELECT doc_id, first, last, row_number() OVER (PARTITION BY body ORDER BY doc_id, first, last) AS nth FROM k
+        ), g AS (
+            SELECT w.doc_id, w.i, line, bool_or(coalesce(nth > 1, false)) AS gone
+            FROM w LEFT JOIN r ON r.doc_id = w.doc_id AND w.i BETWEEN first AND last GROUP BY ALL
         ), t AS (
-            SELECT c.doc_id, count(*) AS n_lines, sum(CAST(gone AS INT)) AS removed_lines,
+            SELECT doc_id, count(*) AS n_lines, sum(CAST(gone AS INT)) AS removed_lines,
                 coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
-            FROM c JOIN r ON c.doc_id = r.doc_id AND c.chunk = r.chunk GROUP BY c.doc_id
+            FROM g GROUP BY doc_id
         )
         SELECT d.doc_id, t.text, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
             CAST(coalesce(removed_lines, 0) AS INT) AS removed_lines
