@@ -1,9 +1,8 @@
 """Language of a text by compression against one raw-content dictionary per language.
 
-The text is encoded with zstandard once per dictionary; the language whose dictionary leaves the fewest
-bytes wins. Several dictionaries per language are filled with different documents and their sizes added,
-which also settles short texts. Where the winner leads by less than MIN_LEAD bytes per dictionary the
-prediction is marked as rejected.
+The text is cut into pieces, so that the dictionary and not the text's own past explains them, and every
+piece is encoded with zstandard once per language; the language whose dictionary leaves the fewest bytes
+wins. Where the winner leads by less than MIN_LEAD bytes the prediction is marked as rejected.
 """
 
 from __future__ import annotations
@@ -24,10 +23,13 @@ UNKNOWN = "und"
 # Bounds of the sample that is fitted on: documents per language, bytes of one of them, bytes of a dictionary.
 SAMPLE_DOCS = 300
 SAMPLE_BYTES = 8_000
-DICTIONARY_BYTES = 48_000
-DICTIONARIES = 3
-LEVEL = 5
-MIN_LEAD = 2.0
+DICTIONARY_BYTES = 256_000
+PIECE_BYTES = 2_000
+MIN_LEAD = 2
+# Short matches of four bytes, found greedily: words of a language are short.
+SETTINGS = zstandard.ZstdCompressionParameters(
+    strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=3, window_log=19, chain_log=18, hash_log=18, write_content_size=False
+)
 
 _LETTER = regex.compile(r"\p{L}")
 _BLANKS = regex.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -38,42 +40,38 @@ def encoded(text: str) -> bytes:
     return _BLANKS.sub(b" ", text.lower().encode("utf-8", "surrogatepass"))
 
 
-def dictionaries(sample: list[tuple[str, str]]) -> tuple[tuple[str, tuple[bytes, ...]], ...]:
-    """(language, contents of its dictionaries) from (language, text) rows, dealt in turn."""
+def dictionaries(sample: list[tuple[str, str]]) -> tuple[tuple[str, bytes], ...]:
+    """(language, content of its dictionary) from (language, text) rows."""
     texts: dict[str, list[str]] = {}
     for lang, text in sample:
         texts.setdefault(lang, []).append(text)
-    return tuple(
-        (lang, tuple(b" ".join(encoded(t) for t in own[k::DICTIONARIES])[:DICTIONARY_BYTES] for k in range(DICTIONARIES)))
-        for lang, own in sorted(texts.items())
-    )
+    return tuple((lang, b" ".join(map(encoded, own))[:DICTIONARY_BYTES]) for lang, own in sorted(texts.items()))
 
 
 @lru_cache(maxsize=2)
-def _compressors(contents: tuple[tuple[str, tuple[bytes, ...]], ...]) -> list[tuple[str, list[zstandard.ZstdCompressor]]]:
+def compressors(contents: tuple[tuple[str, bytes], ...]) -> list[tuple[str, zstandard.ZstdCompressor]]:
     def compressor(content: bytes) -> zstandard.ZstdCompressor:
-        if len(content) < 8:
-            return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        known.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_dict_id=False)
+        known.precompute_compress(compression_params=SETTINGS)
+        return zstandard.ZstdCompressor(compression_params=SETTINGS, dict_data=known)
 
-    return [(lang, [compressor(c) for c in own]) for lang, own in contents]
+    # Less than eight bytes are no dictionary.
+    return [(lang, compressor(content.ljust(8))) for lang, content in contents]
 
 
-def predict(text: str | None, compressors: list[tuple[str, list[zstandard.ZstdCompressor]]]) -> tuple[str, float, bool]:
+def predict(text: str | None, languages: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
     """(language, score, rejected). The score is one over the sum of 2^-(bytes behind the best) of all languages."""
-    if not text or not compressors or not _LETTER.search(text):
+    if not text or not languages or not _LETTER.search(text):
         return UNKNOWN, 0.0, True
     raw = encoded(text)
-    sizes = [(sum(len(c.compress(raw)) for c in own) / len(own), lang) for lang, own in compressors]
-    best, lang = min(sizes)
+    pieces = [raw[at : at + PIECE_BYTES] for at in range(0, len(raw), PIECE_BYTES)]
+    sizes = sorted((sum(len(c.compress(p)) for p in pieces), lang) for lang, c in languages)
+    best, lang = sizes[0]
     score = 1 / sum(2.0 ** -min(size - best, 60) for size, _ in sizes)
-    lead = sorted(sizes)[1][0] - best if len(sizes) > 1 else float("inf")
-    return lang, score, lead < MIN_LEAD
+    return lang, score, len(sizes) > 1 and sizes[1][0] - best < MIN_LEAD
 
 
-def fit(docs: DataFrame) -> tuple[tuple[str, tuple[bytes, ...]], ...]:
+def fit(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
     """Dictionaries from at most SAMPLE_DOCS whole documents a language, of SAMPLE_BYTES at most, taken by hash of
     the id from rows with a language, a letter and an id outside the held-out fold."""
     usable = docs.filter(
@@ -99,9 +97,9 @@ def languages(docs: DataFrame) -> DataFrame:
     out = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     def identify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        compressors = _compressors(contents)
+        known = compressors(contents)
         for batch in texts:
-            found = [predict(t.as_py(), compressors) for t in batch]
+            found = [predict(t.as_py(), known) for t in batch]
             yield pa.array([dict(zip(out.names, row, strict=True)) for row in found], out)
 
     udf = F.arrow_udf(identify, "lang_pred string, score double, rejected boolean")
