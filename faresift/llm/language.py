@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faresift.llm.common import held_out
+from faresift.llm.common import hash_place, held_out, place_bound
 
 FOLDS, FOLD = 4, 2
 UNKNOWN = "und"
@@ -77,11 +77,15 @@ def fit(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
     usable = docs.filter(
         F.col("lang").isNotNull() & ~held_out("doc_id", FOLDS, FOLD) & (F.octet_length("text") <= SAMPLE_BYTES)
     ).filter(F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # The rank is cut below the shuffle as well, so a common language sends no more than the sample per task.
-    sample = usable.select("lang", "doc_id", "text", F.row_number().over(order).alias("nth")).filter(
-        F.col("nth") <= SAMPLE_DOCS
+    place = hash_place("doc_id", "text")
+    # One row per language; its bound lets few more rows pass than the sample takes.
+    counted = usable.groupBy("lang").count().collect()
+    bounds = usable.sparkSession.createDataFrame(
+        [(r["lang"], place_bound(SAMPLE_DOCS, r["count"])) for r in counted], "lang string, bound long"
     )
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    few = usable.join(F.broadcast(bounds), "lang").filter(place < F.col("bound"))
+    sample = few.select("lang", "text", F.row_number().over(order).alias("nth")).filter(F.col("nth") <= SAMPLE_DOCS)
     rows = sample.select("lang", "nth", "text").collect()
     return dictionaries([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["lang"], r["nth"]))])
 
