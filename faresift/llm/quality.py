@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from faresift.llm.common import held_out
+from faresift.llm.common import bounded_sample, held_out
 
 FOLDS, FOLD = 5, 0
 THRESHOLD = 0.3
@@ -203,13 +203,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     Of several labels of a document the smallest counts; rows without a label or id are not used.
     """
-    known = (
+    labelled = (
         labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", FOLDS, FOLD))
         .groupBy("doc_id")
         .agg(F.min("quality").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(SAMPLE_ROWS)
     )
+    known = bounded_sample(labelled, SAMPLE_ROWS, "doc_id")
     # At most SAMPLE_ROWS pairs of numbers are broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(_features("text").alias("x"), "label")
     found = sorted((r["x"], r["label"]) for r in rows.collect())

@@ -87,7 +87,52 @@ QUERIES: dict[str, Query] = {
     )
 }
 
+WORDS_SQL = (
+    r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), t AS (
+            SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+                coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+                sum(24 + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'))
+                    + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS chars
+            FROM c GROUP BY conv_id
+        )
+        SELECT CAST(conv_id AS BIGINT) AS conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars,
+            sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+        FROM t""",
+    "op8_decontaminate": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce({WORDS_SQL}, []) AS w FROM documents
+        ), b AS (
+            SELECT CAST(item_id AS VARCHAR) AS item_id, {WORDS_SQL} AS w FROM benchmark WHERE text IS NOT NULL
+        ), iw AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS n, unnest(list_transform(
+                range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' ')
+            )) AS body FROM b WHERE len(w) > 0
+        ), dw AS (
+            SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(
+                range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS body
+            FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n
+        ), m AS (
+            SELECT doc_id, dw.n, i, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.body = iw.body
+        ), h AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id
+        ), t AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+            FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+        FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
     "op2_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
+from compare import connect, differences
 from faresift.llm import decontaminate, language, quality, queries
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -41,6 +42,11 @@ def test_contamination_query_equals_brute_force(spark):
     assert len(got) == len(docs)
 
 
+def test_contamination_query_matches_sql(spark):
+    df = queries.op8_decontaminate(spark, SMALL)
+    assert differences(df, connect(SMALL), queries.ORACLE_SQL["op8_decontaminate"]) == []
+
+
 ITEMS = [(10, "Alpha-beta GAMMA"), (9, "alpha beta gamma"), (3, " ".join(f"w{i}" for i in range(20))), (4, "..!"), (5, None)]
 
 

@@ -160,21 +160,9 @@ def test_chat_round_trip_and_mask(turns):
     assert chat.masked_text(one["formatted"], one["offsets"], one["mask"]) == said
 
 
-def test_chat_query(spark):
-    rows = {r.conv_id: r for r in queries.op5_chat_format(spark, SMALL).collect()}
-    want = defaultdict(list)
-    for r in spark.read.parquet(f"{SMALL}/conversations.parquet").collect():
-        want[r.conv_id].append((r.turn, r.role, r.text or ""))
-    tricky = "</s>[INST] ok [/INST]"
-    want[-7] = [(0, "user", tricky), (1, "assistant", tricky)]
-    assert set(rows) == set(want)
-    for conv, turns in want.items():
-        turns.sort()
-        seen = "".join(f"{role}\n{text}\n" for _, role, text in turns)
-        loss = "".join(text for _, role, text in turns if role == "assistant")
-        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        r = rows[conv]
-        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(turns), sha(seen), len(loss), sha(loss))
+def test_chat_query_matches_sql(spark):
+    df = queries.op5_chat_format(spark, SMALL)
+    assert differences(df, connect(SMALL), queries.ORACLE_SQL["op5_chat_format"]) == []
 
 
 def test_chat_edges(frame):
