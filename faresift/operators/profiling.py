@@ -373,11 +373,12 @@ def histogram(
     wanted = sorted({float(p) for p in (low_quantile, high_quantile) if p is not None})
     bounds = [F.col("x") >= low if low is not None else None, F.col("x") <= high if high is not None else None]
     if wanted:
-        # One row, read as a subquery: the limits are literals by the time the values are scanned.
-        found = quantiles(values, {"x": wanted})
-        at = lambda p: found.agg(F.max(F.when(F.col("probability") == float(p), F.col("quantile")))).scalar()
-        bounds += [F.col("x") >= at(low_quantile)] if low_quantile is not None else []
-        bounds += [F.col("x") <= at(high_quantile)] if high_quantile is not None else []
+        # One row, read as one subquery: the limits are literals by the time the values are scanned.
+        at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(percentile_name(p))
+        limits = quantiles(values, {"x": wanted}).agg(F.struct(*map(at, wanted))).scalar()
+        limit = lambda p: limits[percentile_name(float(p))]
+        bounds += [F.col("x") >= limit(low_quantile)] if low_quantile is not None else []
+        bounds += [F.col("x") <= limit(high_quantile)] if high_quantile is not None else []
     kept = values.where(all_of([b for b in bounds if b is not None] or [F.lit(True)]))
 
     # A single value gets a bin range of width 1 around it, no value at all the range 0..1.

@@ -6,8 +6,8 @@ measure such as speed. Here the wanted ranks are narrowed down instead:
 1. count rows per logarithmic bucket of the value and add the counts up, which tells the bucket of
    each wanted rank. Doubles have a bounded number of buckets, so this stays small;
 2. cut each of those buckets into CELLS equal cells between its own least and largest value, and do so
-   again with the cells that hold a wanted rank. A bucket spans 0.4 % of its value, so a cell of the
-   second cut spans 2**-40 of it: no more than some thousand doubles are that close;
+   again with the cells that hold a wanted rank. A bucket spans 0.024 % of its value, so a cell of the
+   second cut spans 2**-44 of it: no more than some hundred doubles are that close;
 3. count the distinct values of the cells that are left, and read off the values at the ranks.
 
 Buckets and cells that hold a single value are settled where they are met, and later steps over no
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from faresift.functions.scalars import union_all
 
-# Buckets per factor of e: each spans 0.4 % of its value. The offset keeps the bucket of
-# every positive double positive, so that negative values can mirror them.
-BUCKETS_PER_E = 256.0
-BUCKET_OFFSET = 400_000
+# Buckets per factor of e: each spans 0.024 % of its value, so that amounts and counts mostly have one of
+# their own. The offset keeps the bucket of every positive double positive, so that negative values can mirror them.
+BUCKETS_PER_E = 4096.0
+BUCKET_OFFSET = 4_000_000
 CELLS = 65_536
 CUTS = 2
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
