@@ -27,6 +27,7 @@ from faresift.llm.tokens import encoder, vocabulary_path
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 4096
+DOCS_AT_ONCE = 512
 ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 24
@@ -198,18 +199,21 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(at).encode
-        for batch in batches:
-            rows: list[list] = [[] for _ in arrow]
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, packed in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
-                packed += END_ID.to_bytes(4, "little")
-                for piece, start in enumerate(range(0, len(packed) // 4, capacity)):
-                    own = packed[4 * start : 4 * (start + capacity)]
-                    row = [doc_id, piece, start, len(own) // 4, zlib.crc32(own)]
-                    row += [np.frombuffer(own, "<i4")] if with_ids else []
-                    for column, value in zip(rows, row, strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, arrow, strict=True)], schema=arrow)
+        for whole in batches:
+            # A few documents at a time: their ids, not those of a whole batch, are held.
+            for batch in (whole.slice(at, DOCS_AT_ONCE) for at in range(0, whole.num_rows, DOCS_AT_ONCE)):
+                rows: list[list] = [[] for _ in arrow]
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for doc_id, packed in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
+                    packed += END_ID.to_bytes(4, "little")
+                    for piece, start in enumerate(range(0, len(packed) // 4, capacity)):
+                        own = packed[4 * start : 4 * (start + capacity)]
+                        row = [doc_id, piece, start, len(own) // 4, zlib.crc32(own)]
+                        row += [np.frombuffer(own, "<i4")] if with_ids else []
+                        for column, value in zip(rows, row, strict=True):
+                            column.append(value)
+                columns = [pa.array(c, f.type) for c, f in zip(rows, arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

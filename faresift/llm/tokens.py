@@ -8,16 +8,17 @@ this way; any other text, and texts that hold a special token's string, are enco
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import regex
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
 # Chunks and words kept per generation; two generations are held, and what is met again moves to the newer one.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 TEXTS_AT_ONCE = 256
 WORDS_AT_ONCE = 512
 # Sure are Latin letters but the dotted capital I, common punctuation and currency signs; not controls and no-break spaces.
@@ -59,8 +60,8 @@ class Encoder:
     """Ids of texts as packed little-endian 32-bit numbers."""
 
     def __init__(self, path: str):
-        self.full = Tokenizer.from_file(path)
-        rules = json.loads(self.full.to_str())
+        self.path = path
+        rules = json.loads(Path(path).read_text(encoding="utf-8"))
         steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         chunked = (
             [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])] == _NORMALIZERS
@@ -76,6 +77,9 @@ class Encoder:
             self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
             del rules["normalizer"]
             self.plain = Tokenizer.from_str(json.dumps(rules | {"normalizer": None, "added_tokens": []}))
+            # Words come one by one between spaces, so the pattern need not cut them out again.
+            as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), as_bytes])
             vocabulary, suffix = rules["model"]["vocab"], rules["model"]["end_of_word_suffix"]
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -101,6 +105,11 @@ class Encoder:
         found.update((c, ids[w] + ids[m]) for w, m, c in ended)
         found.update((c, b"".join([ids[w] for w in own])) for c, own in parts.items())
 
+    @cached_property
+    def full(self) -> Tokenizer:
+        """Read when the first text needs it; few do."""
+        return Tokenizer.from_file(self.path)
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
