@@ -214,6 +214,9 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
                             column.append(value)
                 columns = [pa.array(c, f.type) for c, f in zip(rows, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        if with_ids:
+            # Ids are asked for in pipelines, whose other stages go on in this worker: give the memory back.
+            encoder(at).forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -105,6 +105,9 @@ class Encoder:
         found.update((c, ids[w] + ids[m]) for w, m, c in ended)
         found.update((c, b"".join([ids[w] for w in own])) for c, own in parts.items())
 
+    def forget(self) -> None:
+        self.words, self.chunks = Memory(), Memory()
+
     @cached_property
     def full(self) -> Tokenizer:
         """Read when the first text needs it; few do."""
