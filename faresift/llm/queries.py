@@ -58,6 +58,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "text", "n_lines", "removed_lines")
 
 
+def op7_whole_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7_line_dedup with chunks from every line, as the pipeline has it; its SQL has boundaries and stays as it is."""
+    found = line_dedup.without_repeats(table(spark, sf_dir, "documents"), whole=True)
+    return found.select("row.doc_id", "text", "n_lines", "removed_lines")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("byte_spans")
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op5_chat_format,
         op6_packing,
         op7_line_dedup,
+        op7_whole_passages,
         op8_decontaminate,
         op9_language,
         op10_main_text,

@@ -56,6 +56,41 @@ def test_short_lines_are_met_again_inside_other_lines(frame):
         assert len(got[k]) <= 18 + 12
 
 
+@pytest.mark.parametrize(("lines", "words"), [(2, 30), (3, 20), (4, 15), (6, 10), (10, 8)])
+def test_passages_of_short_lines_go_whole(frame, lines, words):
+    """One shared passage between differing short lines, twelve times each shape: no line of it stays twice."""
+    rows = []
+    for n in range(12):
+        shared = [passage(f"p{n}l{k}w", words) for k in range(lines)]
+        for d in range(2):
+            rows.append((2 * n + d, "\n".join([f"before {n} {d}", *shared, f"after {n} {d}"]), "", 0, 0))
+    got = {r.doc_id: r.text for r in line_dedup.clean(frame(rows, DOC)).collect()}
+    assert got == {i: t if i % 2 == 0 else f"before {i // 2} 1\nafter {i // 2} 1" for i, t, *_ in rows}
+
+
+def slow_repeats(texts, least):
+    """Every run of lines with enough words that stands at an earlier place goes; all runs are tried."""
+    seen, gone = {}, defaultdict(set)
+    for d, text in sorted(texts.items()):
+        lines = text.split("\n")
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                run = tuple(lines[a:b])
+                if lines[a].split() and lines[b - 1].split() and sum(len(x.split()) for x in run) >= least:
+                    if seen.setdefault(run, (d, a)) != (d, a):
+                        gone[d].update(range(a, b))
+    return {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in texts.items()}
+
+
+def test_whole_repeats_equal_all_runs(frame):
+    random = np.random.default_rng(11)
+    pool = ["a b", "c d e", "f", "", "g h i j"]
+    texts = {d: "\n".join(random.choice(pool, random.integers(1, 14))) for d in range(60)}
+    docs = frame([(d, t, "", 0, 0) for d, t in texts.items()], DOC)
+    got = {r.row.doc_id: r.text for r in line_dedup.without_repeats(docs, 7, whole=True).collect()}
+    assert got == slow_repeats(texts, 7)
+
+
 def test_line_chunks_of_long_and_repeated_documents(frame):
     long = "\n".join(f"line {i % 7} of a long text" for i in range(20_000))
     docs = frame([(1, long, "", 0, 0), (1, long, "", 1, 0), (2, "\n".join(["same"] * 500), "", 0, 0)], DOC)
