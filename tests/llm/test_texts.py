@@ -245,6 +245,20 @@ def test_article_copies_on_a_host_stay():
     assert extraction.main_texts([page, page]) == ["the very same article text on two pages"] * 2
 
 
+def test_copies_and_near_copies_without_article_stay():
+    text = lambda name: f"<p>{passage(name, 40)}</p><p>{passage(name + 'x', 40)}</p>"
+    pages = [f"<body>{text('a')}", f"<body>{text('a')}", f"<body>{text('a')}<p>one more</p>", f"<body>{text('b')}", None]
+    own = lambda name: f"{passage(name, 40)}\n\n{passage(name + 'x', 40)}"
+    assert extraction.main_texts(pages) == [own("a"), own("a"), own("a") + "\n\none more", own("b"), ""]
+
+
+def test_phrases_of_few_pages_stay_and_long_runs_are_cut():
+    shared = passage("site", 12)
+    pages = [f"<body><p>{passage(f'p{i}', 20)} {'as a matter of fact' if i < 6 else ''} {shared if i > 5 else ''}</p>" for i in range(60)]
+    want = [passage(f"p{i}", 20) + (" as a matter of fact" if i < 6 else "") for i in range(60)]
+    assert extraction.main_texts(pages) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=14), max_size=5))
 def test_suffix_array_marks_runs_of_other_pages(streams):
