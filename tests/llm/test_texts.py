@@ -245,6 +245,13 @@ def test_article_copies_on_a_host_stay():
     assert extraction.main_texts([page, page]) == ["the very same article text on two pages"] * 2
 
 
+def test_repetition_decides_beside_and_inside_articles():
+    notice = "This notice stands on every page of the site and says nothing new"
+    page = "<body><article><p>teaser {0}</p></article><div>Main words {0} of the page {0}</div><div>{1}</div><article><p>own {0} text</p><p>{1}</p></article>"
+    pages = [page.format(f"n{i}", notice) for i in range(5)]
+    assert extraction.main_texts(pages) == [f"teaser n{i}\n\nMain words n{i} of the page n{i}\n\nown n{i} text" for i in range(5)]
+
+
 def test_copies_and_near_copies_without_article_stay():
     text = lambda name: f"<p>{passage(name, 40)}</p><p>{passage(name + 'x', 40)}</p>"
     pages = [f"<body>{text('a')}", f"<body>{text('a')}", f"<body>{text('a')}<p>one more</p>", f"<body>{text('b')}", None]
