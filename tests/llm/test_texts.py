@@ -266,6 +266,21 @@ def test_phrases_of_few_pages_stay_and_long_runs_are_cut():
     assert extraction.main_texts(pages) == want
 
 
+def test_hosts_stay_whole_whatever_the_partitions(spark):
+    own = lambda h, i: passage(f"h{h}p{i}w", 8)
+    rows = [(10 * h + i, f"http://h{h}/{i}", f"<body><div>Welcome to our shared site today</div><p>{own(h, i)}</p>") for h in range(20) for i in range(2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (1, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r.page_id: r.text for r in extraction.extract(pages).collect()}
+            assert got == {10 * h + i: own(h, i) for h in range(20) for i in range(2)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=14), max_size=5))
 def test_suffix_array_marks_runs_of_other_pages(streams):
