@@ -20,7 +20,8 @@ from faresift.llm.common import hash_place, held_out, place_bound
 
 FOLDS, FOLD = 4, 2
 UNKNOWN = "und"
-# Bounds of the sample that is fitted on: documents per language, bytes of one of them, bytes of a dictionary.
+# Bounds of the sample that is fitted on: documents per language, bytes of one of them (a longer one gives a piece),
+# bytes of a dictionary, to which the joined sample is cut.
 SAMPLE_DOCS = 300
 SAMPLE_BYTES = 8_000
 DICTIONARY_BYTES = 256_000
@@ -72,11 +73,11 @@ def predict(text: str | None, languages: list[tuple[str, zstandard.ZstdCompresso
 
 
 def fit(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
-    """Dictionaries from at most SAMPLE_DOCS whole documents a language, of SAMPLE_BYTES at most, taken by hash of
-    the id from rows with a language, a letter and an id outside the held-out fold."""
-    usable = docs.filter(
-        F.col("lang").isNotNull() & ~held_out("doc_id", FOLDS, FOLD) & (F.octet_length("text") <= SAMPLE_BYTES)
-    ).filter(F.col("text").rlike(r"\p{L}"))
+    """Dictionaries from at most SAMPLE_DOCS documents a language, taken by hash of the id from rows with a language, a
+    letter and an id outside the held-out fold. A document of more than SAMPLE_BYTES gives a piece at a hashed place."""
+    usable = docs.filter(F.col("lang").isNotNull() & ~held_out("doc_id", FOLDS, FOLD)).filter(
+        F.col("text").rlike(r"\p{L}")
+    )
     place = hash_place("doc_id", "text")
     # One row per language; its bound lets few more rows pass than the sample takes.
     counted = usable.groupBy("lang").count().collect()
@@ -85,7 +86,14 @@ def fit(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
     )
     order = Window.partitionBy("lang").orderBy(place, "doc_id")
     few = usable.join(F.broadcast(bounds), "lang").filter(place < F.col("bound"))
-    sample = few.select("lang", "text", F.row_number().over(order).alias("nth")).filter(F.col("nth") <= SAMPLE_DOCS)
+    # A character has four bytes at most. A piece without a letter gives way to the one from the first letter on.
+    chars = SAMPLE_BYTES // 4
+    start = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.char_length("text") - chars + 1).cast("int") + 1
+    piece = F.substring("text", start, chars)
+    lettered = F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), chars)
+    piece = F.when(piece.rlike(r"\p{L}"), piece).otherwise(lettered)
+    text = F.when(F.octet_length("text") <= SAMPLE_BYTES, F.col("text")).otherwise(piece).alias("text")
+    sample = few.select("lang", text, F.row_number().over(order).alias("nth")).filter(F.col("nth") <= SAMPLE_DOCS)
     rows = sample.select("lang", "nth", "text").collect()
     return dictionaries([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["lang"], r["nth"]))])
 

@@ -132,3 +132,15 @@ def test_language_edges(frame):
     unknown = frame([(1, "text", None, "", 0, "")], DOC)
     assert language.languages(unknown).first().lang_pred == "und"
     assert language.languages(unknown.limit(0)).count() == 0
+
+
+def test_language_of_long_texts_only_is_learned(frame):
+    """One language has nothing but long texts, one of them with a letter at its end alone."""
+    rows = [(i, f"short words of the common kind number {i}", "aa", "") for i in range(40)]
+    rows += [(100 + i, f"mnogo drugih slov v etom tekste {i} " * 400, "bb", "") for i in range(20)]
+    rows += [(200 + i, "1 " * 9_000 + f"konec{i} slova", "cc", "") for i in range(4)]
+    docs = frame(rows, "doc_id long, text string, lang string, source string")
+    contents = dict(language.fit(docs.select("doc_id", "text", "lang")))
+    assert set(contents) == {"aa", "bb", "cc"} and b"konec" in contents["cc"]
+    got = {r.doc_id: r.lang_pred for r in language.languages(docs).collect()}
+    assert all(got[i] == "aa" for i in range(40)) and all(got[100 + i] == "bb" for i in range(20))
