@@ -126,12 +126,12 @@ def _rooted(fps: DataFrame, pairs: DataFrame, at: str) -> DataFrame:
 
 
 def _grouped(marked: DataFrame) -> DataFrame:
-    """(fp, component_id) of all fingerprints of a materialised (doc_id, fp)."""
+    """(fp, part, component_id) of all fingerprints of a materialised (doc_id, fp); part is the component's root."""
     fps = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     parts = materialise(_rooted(fps.withColumn("part", F.col("fp")), neighbours(fps), "part"), "parts")
     rooted = materialise(_rooted(parts, links(parts), "part"), "rooted")
     least = materialise(rooted.groupBy("part").agg(F.min("least").alias("component_id")), "least-ids")
-    return rooted.join(least, "part").select("fp", "component_id")
+    return rooted.join(least, "part").select("fp", "part", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -158,9 +158,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     )
     placed = marked.join(_grouped(marked.select("doc_id", "fp")), "fp")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body"))
-    # Components without any id are told apart by the fingerprint, the others by their least id.
+    # Components are told apart by their roots: their least ids may be null or agree.
     winners = (
-        placed.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("part"))
+        placed.groupBy("part")
         .agg(first.alias("w"))
         .select(F.col("w.doc_id").alias("win_id"), F.col("w.body").alias("win_body"))
         .distinct()

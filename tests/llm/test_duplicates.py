@@ -103,6 +103,12 @@ def test_near_duplicates_without_ids_and_without_rows(frame):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_components_with_the_same_least_id_keep_a_document_each(frame):
+    rows = [(1, "one two three four five", "x", "f", 1), (2, "One two three four five", "x", "f", 2)]
+    rows += [(1, "six seven eight nine ten", "x", "f", 3), (3, "Six seven eight nine ten", "x", "f", 4)]
+    assert sorted(r.row for r in simhash.keep_one(frame(rows, DOC)).collect()) == [1, 3]
+
+
 def test_exact_query_matches_sql(spark):
     df = queries.op2_exact_dedup(spark, SMALL)
     assert differences(df, connect(SMALL), queries.ORACLE_SQL["op2_exact_dedup"]) == []
