@@ -14,12 +14,13 @@ from faresift.llm import (
     extraction,
     language,
     line_dedup,
+    merkle,
     packing,
     quality,
     secret_scan,
     simhash,
 )
-from faresift.llm.common import table
+from faresift.llm.common import LOWER, UPPER, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +78,13 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of documents, held against the table with the texts of some documents in lower case."""
+    picked = F.col("doc_id").isNotNull() & held_out("doc_id", 5, 0)
+    found = F.when(picked, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), found)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -91,6 +99,7 @@ QUERIES: dict[str, Query] = {
         op8_decontaminate,
         op9_language,
         op10_main_text,
+        op11_merkle,
     )
 }
 
@@ -99,6 +108,66 @@ WORDS_SQL = (
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+# The CRC-32 of a number's decimal text; the constant is the polynomial, bits reversed.
+CRC_SQL = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def merkle_sql(source_levels: int = 6, root_levels: int = 4) -> str:
+    """Trees of up to 16 ** levels nodes, one level after the other; finished trees are carried on as they are."""
+    said = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256({' || '.join(map(said, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+    changed = (
+        "CASE WHEN doc_id IS NOT NULL AND crc % 5 = 0 "
+        "THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+    )
+    levels = lambda name, n: "".join(
+        f"""{name}b{k} AS MATERIALIZED (
+            SELECT tree, place, total, digest,
+                coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM {name}{k} WINDOW r AS (PARTITION BY tree, place // 16 ORDER BY place)
+        ), {name}{k + 1} AS MATERIALIZED (
+            SELECT tree, place // 16 AS place, (any_value(total) + 15) // 16 AS total,
+                CASE WHEN any_value(total) > 1 THEN sha256(string_agg(digest, '' ORDER BY place)) ELSE any_value(digest) END AS digest
+            FROM {name}{k} GROUP BY tree, place // 16
+        ), """
+        for k in range(n)
+    )
+    # A node at a place of the leaves has its way through places // 16 ** k.
+    way = lambda name, n, at: (
+        "".join(f" JOIN {name}b{k} AS {name}w{k} ON {name}w{k}.tree = {at[0]} AND {name}w{k}.place = {at[1]} // {16**k}" for k in range(n))
+    )
+    steps = [f"{name}w{k}" for name, n in (("s", source_levels), ("t", root_levels)) for k in range(n)]
+    folds, below = "", "found"
+    for i, step in enumerate(steps):
+        folds += f", CASE WHEN {step}.total > 1 THEN sha256({step}.l || {below} || {step}.r) ELSE {below} END AS fold{i}"
+        below = f"fold{i}"
+    proof = " || ".join(f"{s}.l || {s}.r" for s in steps)
+    return f"""
+        WITH c AS (
+            SELECT *, {CRC_SQL} AS crc FROM documents
+        ), d AS MATERIALIZED (
+            SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf("text")} AS digest, {leaf(changed)} AS found FROM c
+        ), p AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest, found) - 1 AS place,
+                count(*) OVER (PARTITION BY tree) AS total FROM d
+        ), s0 AS (
+            SELECT tree, place, total, digest FROM p
+        ), {levels("s", source_levels)}t0 AS MATERIALIZED (
+            SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS total, digest, tree AS source_tree
+            FROM s{source_levels}
+        ), {levels("t", root_levels)}f AS (
+            SELECT doc_id, p.digest AS leaf, t0.digest AS subroot, t{root_levels}.digest AS root, sha256({proof}) AS proof_sha256{folds}
+            FROM p{way("s", source_levels, ("p.tree", "p.place"))}
+            JOIN t0 ON t0.source_tree = p.tree{way("t", root_levels, ("''", "t0.place"))}
+            JOIN t{root_levels} ON true
+        )
+        SELECT doc_id, leaf, subroot, root, proof_sha256, {below} AS folded_root, {below} = root AS verified FROM f"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": r"""
         WITH c AS (
@@ -192,4 +261,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, t.text, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
             CAST(coalesce(removed_lines, 0) AS INT) AS removed_lines
         FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
+    "op11_merkle": merkle_sql(),
 }
