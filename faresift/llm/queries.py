@@ -17,6 +17,7 @@ from faresift.llm import (
     merkle,
     packing,
     quality,
+    reputation,
     secret_scan,
     simhash,
 )
@@ -85,6 +86,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), found)
 
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, docs, labels = (table(spark, sf_dir, name) for name in ("pages", "documents", "labels"))
+    outcomes = reputation.labelled_pages(pages, docs, labels)
+    judged = reputation.judge(pages, outcomes, reputation.rule_list(URL_RULES))
+    return judged.withColumn("bad_bound", F.round("bad_bound", 6))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -100,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op9_language,
         op10_main_text,
         op11_merkle,
+        op12_url_filter,
     )
 }
 
@@ -168,6 +180,80 @@ def merkle_sql(source_levels: int = 6, root_levels: int = 4) -> str:
         SELECT doc_id, leaf, subroot, root, proof_sha256, {below} AS folded_root, {below} = root AS verified FROM f"""
 
 
+def strength_sql(name: str) -> str:
+    """(s): the prior strength of a level, from (n, bad) of its members."""
+    return f"""(
+            SELECT CASE WHEN k < 2 OR v IS NULL OR v * (1 - sizes / (total * total) - chance) <= 0 THEN 10.0
+                WHEN (spread - v * chance) / (v * (1 - sizes / (total * total) - chance)) <= 1 / 1001.0 THEN 1000.0
+                ELSE greatest(1.0, 1 / ((spread - v * chance) / (v * (1 - sizes / (total * total) - chance))) - 1) END AS s
+            FROM (SELECT *, (k - 1) / total AS chance, squares / total - (x / total) * (x / total) AS spread,
+                    (x / total) * (1 - x / total) AS v
+                FROM (SELECT count(*) AS k, sum(n::DOUBLE) AS total, sum(bad::DOUBLE) AS x,
+                        sum(bad::DOUBLE * bad / n) AS squares, sum(n::DOUBLE * n) AS sizes
+                    FROM {name} WHERE n > 0)))"""
+
+
+URL_SQL = f"""
+        WITH known AS (
+            SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
+            WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id
+        ), dl AS (
+            SELECT DISTINCT doc_id, bad, trim(unnest(string_split(text, chr(10)))) AS line FROM documents JOIN known USING (doc_id)
+        ), said AS (
+            SELECT line, min(bad) AS bad FROM dl WHERE length(line) >= 20 GROUP BY line HAVING min(bad) = max(bad)
+        ), pl AS (
+            SELECT DISTINCT page_id, trim(unnest(regexp_extract_all(html, '>([^<>]+)<', 1))) AS line FROM pages WHERE page_id IS NOT NULL
+        ), o AS (
+            SELECT page_id, CAST(2 * sum(bad) >= count(*) AS INT) AS bad FROM pl JOIN said USING (line) GROUP BY page_id
+        ), u AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), p AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+        ), h0 AS (
+            SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+                regexp_replace(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '\\.$', '') AS name
+            FROM p LEFT JOIN o USING (page_id) GROUP BY host
+        ), h1 AS (
+            SELECT *, string_split(name, '.') AS labels, regexp_matches(name, '^[0-9.]+$|^\\[') AS address,
+                array_to_string(labels[-2:], '.') IN {reputation.TWO_LABEL_SUFFIXES} AS two FROM h0
+        ), hosts AS (
+            SELECT *, CASE WHEN address THEN name ELSE array_to_string(labels[(CASE WHEN two THEN -3 ELSE -2 END):], '.') END AS domain,
+                CASE WHEN address THEN name ELSE array_to_string(labels[(CASE WHEN two THEN -2 ELSE -1 END):], '.') END AS suffix
+            FROM h1
+        ), domains AS (
+            SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+        ), suffixes AS (
+            SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL
+        ), sm AS (
+            SELECT suffix, (s * ((SELECT sum(bad) + 1 FROM suffixes)::DOUBLE / (SELECT sum(n) + 2 FROM suffixes)) + bad) / (s + n) AS m
+            FROM suffixes, {strength_sql("suffixes")}
+        ), dm AS (
+            SELECT domain, suffix, (s * m + bad) / (s + n) AS m FROM domains JOIN sm USING (suffix), {strength_sql("domains")}
+        ), ab AS (
+            SELECT host, n, bad, s * m + bad AS a, s * (1 - m) + n - bad AS b
+            FROM hosts JOIN dm USING (domain, suffix), {strength_sql("hosts")}
+        ), pq AS (
+            SELECT *, 2 * greatest(a, 1) - 1 AS x, 2 * greatest(b, 1) - 1 AS y, {reputation.BOUND_Z}::DOUBLE AS z FROM ab
+        ), hc AS (
+            SELECT *, 2 / (1 / x + 1 / y) AS h, (z * z - 3) / 6 AS c FROM pq
+        ), t AS (
+            SELECT host, n, bad, CASE WHEN a >= 1 AND b >= 1
+                THEN a / (a + b * exp(2 * (z * sqrt(h + c) / h - (1 / y - 1 / x) * (c + 5 / 6 - 2 / (3 * h)))))
+                ELSE greatest(0, a / (a + b) - z * sqrt(a * b / (a + b + 1)) / (a + b)) END AS bound
+            FROM hc
+        ), r AS (
+            SELECT * FROM (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in reputation.rule_list(URL_RULES))}) r(v, rh, rp)
+        ), f AS (
+            SELECT host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+            FROM (SELECT DISTINCT host, path FROM p) JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+            GROUP BY host, path
+        )
+        SELECT page_id, p.host, p.path, rule, coalesce(v, CASE WHEN bound >= {reputation.BLOCK_SHARE} THEN 'block' ELSE 'allow' END) AS verdict,
+            n AS n_labelled, CAST(bad AS BIGINT) AS n_bad, round(bound, 6) AS bad_bound
+        FROM p JOIN t ON t.host = p.host LEFT JOIN f ON f.host = p.host AND f.path = p.path"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": r"""
         WITH c AS (
@@ -262,4 +348,5 @@ ORACLE_SQL: dict[str, str] = {
             CAST(coalesce(removed_lines, 0) AS INT) AS removed_lines
         FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
     "op11_merkle": merkle_sql(),
+    "op12_url_filter": URL_SQL,
 }
