@@ -15,6 +15,7 @@ from faresift.llm import (
     language,
     line_dedup,
     merkle,
+    negatives,
     packing,
     quality,
     reputation,
@@ -96,6 +97,13 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("bad_bound", F.round("bad_bound", 6))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows of every hundredth id; rows of every seventh id have the next label."""
+    given = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(given.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -112,6 +120,7 @@ QUERIES: dict[str, Query] = {
         op10_main_text,
         op11_merkle,
         op12_url_filter,
+        op13_hard_negatives,
     )
 }
 
@@ -349,4 +358,23 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
     "op11_merkle": merkle_sql(),
     "op12_url_filter": URL_SQL,
+    "op13_hard_negatives": """
+        WITH e AS (
+            SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.uid AS au, a.vec_id AS anchor_id, e.uid, e.vec_id, a.label = e.label AS same,
+                list_inner_product(a.v, e.v)::BIGINT AS score
+            FROM e a, e WHERE a.vec_id % 100 = 0 AND a.uid <> e.uid
+        ), p AS (
+            SELECT *, row_number() OVER (PARTITION BY au ORDER BY score DESC, vec_id, uid) AS nth FROM s WHERE same
+        ), n AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                row_number() OVER (PARTITION BY p.au, p.nth ORDER BY s.score DESC, s.vec_id, s.uid) AS rank
+            FROM p JOIN s ON p.au = s.au
+            WHERE nth <= 5 AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
