@@ -229,8 +229,7 @@ def mine(
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score for each anchor and positive.
 
     ``anchor`` picks the anchors among the rows. Rows with a null id, label, vector or component, or a component that is
-    not finite, take no part. Vectors that are shorter than others end in zeros; a hundred times a score must fit 62
-    bits. Every row counts for itself, repeated rows and ids too; an anchor is no partner of its own row
+    not finite, take no part. Vectors that are shorter than others end in zeros; scores must fit 62 bits. Every row counts for itself, repeated rows and ids too; an anchor is no partner of its own row
     alone. Anchors without positives, and positives without negatives in range, have no rows. Without anchors
     the result is empty. Other columns are not read.
     """
@@ -258,9 +257,9 @@ def mine(
     shape = "array<struct<slot:int,id:bigint,score:bigint,low:bigint,high:bigint>>"
     firsts = ranked(anchors.withColumn("windows", whole.cast(shape)), True, positives)
 
-    # low <= 100 * score <= high in whole numbers: the quotients are rounded towards the inside.
-    low = F.expr(f"-((-{score_range[0]} * score - pmod(-{score_range[0]} * score, 100)) div 100)")
-    high = F.expr(f"({score_range[1]} * score - pmod({score_range[1]} * score, 100)) div 100")
+    # Ends of the range in whole scores, both inside.
+    share = lambda percent: F.col("score").cast("decimal(20,0)") * percent / 100
+    low, high = F.ceil(share(score_range[0])).cast("long"), F.floor(share(score_range[1])).cast("long")
     window = F.struct(
         (F.col("rank") - 1).alias("slot"), F.col("vec_id").alias("id"), "score", low.alias("low"), high.alias("high")
     )

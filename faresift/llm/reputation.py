@@ -86,7 +86,7 @@ def strength(counts: DataFrame) -> float:
 
 def lower_bound(a: Column, b: Column, z: float = BOUND_Z) -> Column:
     """Lower bound of a Beta(a, b) share: the closed approximation by a normal deviate where both are 1 or more
-    (good to some thousandths), else mean less z standard deviations."""
+    (good to a hundredth), else mean less z standard deviations."""
     flat = F.greatest(F.lit(0.0), a / (a + b) - z * F.sqrt(a * b / (a + b + 1)) / (a + b))
     # Whatever branch is taken, no division by zero is evaluated.
     p, q = 2 * F.greatest(a, F.lit(1.0)) - 1, 2 * F.greatest(b, F.lit(1.0)) - 1
