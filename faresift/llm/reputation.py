@@ -54,15 +54,17 @@ def labelled_pages(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> Data
     known = labels.filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
     known = known.groupBy("doc_id").agg(F.max(bad.cast("int")).alias("bad"))
 
-    def lines(rows: DataFrame, texts: Column, *keys: str) -> DataFrame:
-        found = rows.select(*keys, F.explode(texts).alias("line")).select(*keys, F.trim("line").alias("line"))
-        return found.filter(F.length("line") >= LINE_CHARS).select(*keys, F.unhex(F.md5("line")).alias("line")).distinct()
-
-    own = docs.select("doc_id", "text").join(known, "doc_id")
-    said = lines(own, F.split("text", "\n"), "doc_id", "bad").groupBy("line").agg(F.min("bad").alias("bad"), F.max("bad").alias("most"))
-    shown = lines(pages.filter("page_id IS NOT NULL"), F.regexp_extract_all("html", F.lit(">([^<>]+)<"), F.lit(1)), "page_id")
-    met = shown.join(said.filter("bad = most"), "line").groupBy("page_id")
-    return met.agg((2 * F.sum("bad") >= F.count(F.lit(1))).alias("bad"))
+    def lines(texts: Column) -> Column:
+        long = F.filter(F.transform(texts, F.trim), lambda line: F.length(line) >= LINE_CHARS)
+        return F.array_distinct(F.transform(long, lambda line: F.unhex(F.md5(line)))).alias("lines")
+
+    # Texts stay where they are read; what moves are digests.
+    own = docs.select("doc_id", lines(F.split("text", "\n"))).join(known, "doc_id")
+    said = own.select(F.explode("lines").alias("line"), "bad").groupBy("line").agg(F.min("bad").alias("bad"), F.max("bad").alias("most"))
+    shown = pages.filter("page_id IS NOT NULL").select("page_id", lines(F.regexp_extract_all("html", F.lit(">([^<>]+)<"), F.lit(1))))
+    met = shown.select("page_id", F.explode("lines").alias("line")).join(said.filter("bad = most").drop("most"), "line")
+    # Rows that repeat a page_id are one page here.
+    return met.distinct().groupBy("page_id").agg((2 * F.sum("bad") >= F.count(F.lit(1))).alias("bad"))
 
 
 def strength(counts: DataFrame) -> float:
