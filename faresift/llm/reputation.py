@@ -55,7 +55,7 @@ def labelled_pages(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> Data
     known = known.groupBy("doc_id").agg(F.max(bad.cast("int")).alias("bad"))
 
     def lines(texts: Column) -> Column:
-        long = F.filter(F.transform(texts, F.trim), lambda line: F.length(line) >= LINE_CHARS)
+        long = F.filter(F.transform(texts, lambda line: F.trim(line)), lambda line: F.length(line) >= LINE_CHARS)
         return F.array_distinct(F.transform(long, lambda line: F.unhex(F.md5(line)))).alias("lines")
 
     # Texts stay where they are read; what moves are digests.
