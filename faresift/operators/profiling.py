@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from faresift.functions.scalars import (
     union_all,
 )
 from faresift.operators.metrics import count_metrics, true_rows, wide_to_rows
-from faresift.operators.quantiles import quantiles
+from faresift.operators.quantiles import quantile_values
 
 
 def with_measures(df: DataFrame) -> DataFrame:
@@ -111,8 +113,12 @@ def percentile_name(p: float) -> str:
 def describe_numeric(
     df: DataFrame, columns: list[str] = S.METRIC_COLUMNS, percentiles: tuple[float, ...] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
-    """(column, count, mean, std, min, percentiles, max), one row per column; exact percentiles."""
-    aggregates = []
+    """(column, count, mean, std, min, percentiles, max), one row per column; exact percentiles.
+
+    The percentiles are settled when this is called and stand in the plan as literals; the rest is one scan.
+    """
+    found = quantile_values(df, {c: list(percentiles) for c in columns})
+    aggregates, cells = [], []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggregates += [
@@ -122,28 +128,19 @@ def describe_numeric(
             F.min(x).alias(f"_min{i}"),
             F.max(x).alias(f"_max{i}"),
         ]
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"_n{i}").alias("count"),
-            F.col(f"_avg{i}").alias("mean"),
-            F.col(f"_std{i}").alias("std"),
-            F.col(f"_min{i}").alias("min"),
-            F.col(f"_max{i}").alias("max"),
+        named = [F.lit(found.get((c, float(p)))).cast("double").alias(percentile_name(p)) for p in percentiles]
+        cells.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"_n{i}").alias("count"),
+                F.col(f"_avg{i}").alias("mean"),
+                F.col(f"_std{i}").alias("std"),
+                F.col(f"_min{i}").alias("min"),
+                *named,
+                F.col(f"_max{i}").alias("max"),
+            )
         )
-        for i, c in enumerate(columns)
-    ]
-    moments = df.agg(*aggregates).select(F.inline(F.array(*cells)))
-    names = {p: percentile_name(p) for p in percentiles}
-    # One row per described column on either side: both are as small as the column list.
-    points = (
-        quantiles(df, {c: list(percentiles) for c in columns})
-        .groupBy("column")
-        .agg(*[F.max(F.when(F.col("probability") == float(p), F.col("quantile"))).alias(n) for p, n in names.items()])
-    )
-    return moments.join(F.broadcast(points), "column", "left").select(
-        "column", "count", "mean", "std", "min", *names.values(), "max"
-    )
+    return df.agg(*aggregates).select(F.inline(F.array(*cells)))
 
 
 def value_counts(
@@ -366,31 +363,24 @@ def histogram(
     """(bin, lower, upper, count): equal bins over the rows with low <= value <= high.
 
     Each limit is a number, an exact quantile of the column, or absent. The bins span the values
-    that are left, the last bin is closed, and empty bins are listed with 0.
+    that are left, the last bin is closed, and empty bins are listed with 0. Limits and span are settled when this is
+    called, so the count is a single scan between literals.
     """
     x = F.col(column).cast("double")
-    values = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     wanted = sorted({float(p) for p in (low_quantile, high_quantile) if p is not None})
-    bounds = [F.col("x") >= low if low is not None else None, F.col("x") <= high if high is not None else None]
-    if wanted:
-        # One row, read as one subquery: the limits are literals by the time the values are scanned.
-        at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(percentile_name(p))
-        limits = quantiles(values, {"x": wanted}).agg(F.struct(*map(at, wanted))).scalar()
-        limit = lambda p: limits[percentile_name(float(p))]
-        bounds += [F.col("x") >= limit(low_quantile)] if low_quantile is not None else []
-        bounds += [F.col("x") <= limit(high_quantile)] if high_quantile is not None else []
-    kept = values.where(all_of([b for b in bounds if b is not None] or [F.lit(True)]))
+    limits = quantile_values(values, {"x": wanted})
+    at = lambda p: None if p is None else limits.get(("x", float(p)), math.nan)
+    lows, highs = [v for v in (low, at(low_quantile)) if v is not None], [v for v in (high, at(high_quantile)) if v is not None]
+    kept = values.where(all_of([F.col("x") >= v for v in lows] + [F.col("x") <= v for v in highs] or [F.lit(True)]))
 
     # A single value gets a bin range of width 1 around it, no value at all the range 0..1.
-    least, most = F.min("x"), F.max("x")
-    span = kept.agg(
-        F.struct(
-            F.coalesce(F.when(least == most, least - 0.5).otherwise(least), F.lit(0.0)).alias("first"),
-            F.coalesce(F.when(least == most, most + 0.5).otherwise(most), F.lit(1.0)).alias("last"),
-        )
-    ).scalar()
-    ends = {"first": span["first"], "last": span["last"]}
-    first, last, n = F.col("first"), F.col("last"), F.lit(float(bins))
+    least, most = kept.agg(F.min("x"), F.max("x")).first()
+    if least is None:
+        least, most = 0.0, 1.0
+    elif least == most:
+        least, most = least - 0.5, most + 0.5
+    first, last, n = F.lit(least), F.lit(most), F.lit(float(bins))
     # The last edge is the largest value itself, not the first edge plus so many steps.
     edge = lambda i: F.when(i == bins, last).otherwise(i * ((last - first) / n) + first)
     # The scaled position may be off by one bin at an edge, so it is checked against the edges.
@@ -401,13 +391,12 @@ def histogram(
         .otherwise(F.col("guess"))
     )
     counted = (
-        kept.withColumns(ends)
-        .withColumn("guess", guess)
+        kept.withColumn("guess", guess)
         .groupBy(settled.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
     numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint")))
-    every = df.sparkSession.range(1).select(numbers.alias("bin")).withColumns(ends)
+    every = df.sparkSession.range(1).select(numbers.alias("bin"))
     # One row per bin on either side.
     return every.join(F.broadcast(counted), "bin", "left").select(
         "bin",

@@ -9,7 +9,8 @@ from faresift import schema as S
 from faresift.functions.scalars import half_even
 from faresift.operators import diagnostics as D
 from faresift.operators import profiling
-from faresift.operators.quantiles import approx_quantiles, quantiles, ranked_values
+from faresift.operators import quantiles as quantile_steps
+from faresift.operators.quantiles import approx_quantiles, key_value, quantiles, ranked_values, with_key
 from trip_rows import FLEX, lasting
 
 POINTS = [0.0, 0.001, 0.25, 0.5, 0.75, 0.995, 1.0]
@@ -208,3 +209,44 @@ def test_zone_checks(trip):
     assert list(found.values()) == [1, 1, 1, 1, 1]
     found = {r["metric"]: r["value"] for r in profiling.location_checks(rows).collect()}
     assert found["PULocationID <= 0"] == 1 and found["PULocationID unique"] == 3 and found["DOLocationID maximum"] == 266
+
+
+def test_keys_are_the_bits_of_doubles(spark):
+    """Every power of two with its neighbours, random bit patterns, least and largest numbers, both signs."""
+    rng = np.random.default_rng(4)
+    powers = np.ldexp(1.0, np.arange(-1074, 1024))
+    patterns = rng.integers(0, 2047 << 52, 4000, dtype=np.int64).view(np.float64)
+    sizes = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf), patterns, [0.0, np.inf, 1.7976931348623157e308]])
+    values = np.concatenate([sizes, -sizes])
+    df = spark.createDataFrame([(float(v), float(v)) for v in values] + [(None, None), (float("nan"), 0.0)], "value double, given double")
+    keyed = with_key(df, integral=False).withColumn("back", quantile_steps._key_column_value(F.col("key"))).collect()
+    assert len(keyed) == len(values)
+    for r in keyed:
+        assert r["key"] == int(np.copysign(1, r["given"])) * int(np.abs(np.float64(r["given"])).view(np.int64))
+        assert r["back"] == key_value(r["key"]) == r["given"]
+
+
+def test_plans_do_not_grow_with_the_passes(spark, monkeypatch):
+    """One scan and two shuffles per digit, three digits at most; limits of a histogram are literals in its plan."""
+    plans = []
+    step = quantile_steps._pass
+    monkeypatch.setattr(quantile_steps, "_pass", lambda *a: plans.append(step(*a)) or plans[-1])
+    values = np.random.default_rng(8).normal(0, 1, 20_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": values, "y": 1 + values * 1e-12})).repartition(4)
+    found = profiling.describe_numeric(df, ["x", "y"], (0.25, 0.5)).collect()
+    for r, v in zip(found, (values, 1 + values * 1e-12), strict=True):
+        assert [r["p25"], r["p50"]] == pytest.approx(np.quantile(v, [0.25, 0.5]), rel=1e-12)
+    assert 2 <= len(plans) <= 3
+    for plan in plans:
+        text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert text.count("Exchange hashpartitioning") <= 2 and text.count("Scan ExistingRDD") == 1
+    counted = profiling.histogram(df, "x", low_quantile=0.01, high_quantile=0.99)._jdf.queryExecution().executedPlan().toString()
+    assert counted.count("Scan ExistingRDD") == 1 and "Subquery" not in counted
+
+
+def test_ranked_values_keep_null_groups_and_many_digits(spark):
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 3 == 0 else i % 3, float(v)) for i, v in enumerate(1 + rng.random(3000) * 1e-13)]
+    found = ranked_values(spark.createDataFrame(rows, "g int, value double"), ["g"], F.array(F.lit(0.5)), bounded=False).collect()
+    expected = {g: float(np.median([v for k, v in rows if k == g])) for g in (None, 1, 2)}
+    assert {r["g"]: r["quantile"] for r in found} == pytest.approx(expected, rel=1e-15)
