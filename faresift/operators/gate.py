@@ -31,6 +31,23 @@ def schema_violations(schema: T.StructType) -> list[tuple[str, str, str]]:
     return found
 
 
+def part_violations(parts: dict[str, T.StructType]) -> list[tuple[str, str, str, str]]:
+    """(file, rule, column, detail) for the faults of each part file of a month, by the schema of its own footer.
+
+    A merged schema would fill a column that one part lacks with nulls. Parts must also agree on types.
+    """
+    found = []
+    first: dict[str, T.DataType] = {}
+    for file, schema in parts.items():
+        found += [(file, *fault) for fault in schema_violations(schema)]
+        for field in schema.fields:
+            known = first.setdefault(field.name, field.dataType)
+            if known != field.dataType:
+                detail = f"{field.dataType.simpleString()} here, {known.simpleString()} in another part"
+                found.append((file, "part_type", field.name, detail))
+    return found
+
+
 def _rows(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
     if not rows:
         return spark.createDataFrame([], VIOLATION_SCHEMA)
@@ -45,8 +62,8 @@ def _outside(column: str, allowed: list) -> Column:
     return F.col(f"`{column}`").isNotNull() & ~F.col(f"`{column}`").isin(allowed)
 
 
-def unknown_codes(df: DataFrame, domains: dict[str, list] | None = None) -> DataFrame:
-    """Distinct (column, value) outside the allowed codes, one row each, missing values left alone.
+def unknown_codes(df: DataFrame, domains: dict[str, list] | None = None, *by: str) -> DataFrame:
+    """Distinct (column, value) outside the allowed codes, one row each (per ``by``), missing values left alone.
 
     Sound rows fall to the filter right after the scan, so only faulty ones are unfolded and shuffled.
     """
@@ -60,7 +77,7 @@ def unknown_codes(df: DataFrame, domains: dict[str, list] | None = None) -> Data
     ]
     return (
         df.where(any_of([_outside(c, allowed) for c, allowed in domains.items()]))
-        .select(F.inline(F.array_compact(F.array(*cells))))
+        .select(*by, F.inline(F.array_compact(F.array(*cells))))
         .distinct()
     )
 

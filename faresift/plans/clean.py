@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faresift import schema as S
-from faresift.functions.scalars import union_all
-from faresift.operators.cleaning import session_clock, transform_trips
+from faresift.functions.scalars import ntz, union_all
+from faresift.operators.cleaning import session_clock, transform_many, transform_trips, untrusted_pickup
 from faresift.operators.gate import refuse_faults, unknown_codes, validate_source
 from faresift.operators.quality import flag_aggregates, quality_by_source, reconcile, summary_rows
 from faresift.sources import landing, sinks
 from faresift.sources.trips import (
     base_name,
-    month_frames,
     month_paths,
+    month_schemas,
+    read_alike,
     read_month,
     reporting_period,
     require_source,
-    typed,
 )
 
+POINTER_WRITERS = 8
+
 
 def clean_month(
     spark: SparkSession, path: str, out: str, processing_time: datetime | str | None = None
@@ -36,6 +39,7 @@ def clean_month(
     source_file = base_name(path)
     require_source(spark, path)
     year, month = reporting_period(source_file)
+    month_schemas(spark, [path])
     raw = read_month(spark, path)
     validate_source(raw)
 
@@ -72,22 +76,31 @@ def clean_months(
 ) -> DataFrame:
     """Check, clean and write the months of a folder; returns the quality summary per source file.
 
-    ``only`` names the months to take, by default all. Every month keeps its own scan with literal
-    bounds, and all of them are written by one job per half, without a shuffle. The summary is counted
-    on the written files themselves, from their flag columns and footers, and reconciled per source
-    file before any source is pointed to its new result.
+    ``only`` names the months to take, by default all. Months of one schema are one scan, whose rows get the bounds
+    of their month from a row per file; rejects are scanned year by year, so that literal bounds on the pickup
+    reach the files. Each half is written by one job, without a shuffle. The summary is counted on the written files
+    themselves, from their flag columns and footers, and reconciled per source file before any source is
+    pointed to its new result.
     """
     wanted = [p for p in month_paths(spark, folder) if only is None or base_name(p) in only]
-    frames = {name: typed(df) for name, df in month_frames(spark, wanted).items()}
-    sources = list(frames)
-    periods = {source: reporting_period(source) for source in sources}
-    codes = unknown_codes(union_all([df.select(*S.CODE_DOMAINS) for df in frames.values()]))
+    schemas = month_schemas(spark, wanted)
+    periods = {base_name(p): reporting_period(base_name(p)) for p in wanted}
+    sources = list(periods)
+    raw = read_alike(spark, schemas)[None]
+    codes = unknown_codes(raw.select(*S.CODE_DOMAINS))
     refuse_faults(codes.select(F.lit("unknown_code").alias("rule"), "column", F.col("value").alias("detail")))
 
     now = processing_time or session_clock(spark)
-    halves = [transform_trips(df, *periods[source], source, now) for source, df in frames.items()]
-    processed, rejected = (union_all(list(half)) for half in zip(*halves))
-    raw = union_all([df.select(F.lit(source).alias("source_file")) for source, df in frames.items()])
+    shape = "source_file string, reporting_year int, reporting_month int"
+    listed = spark.createDataFrame([(source, *period) for source, period in periods.items()], shape)
+    processed, _ = transform_many(raw, listed, now)
+    rejects = []
+    for year, months in read_alike(spark, schemas, lambda p: periods[base_name(p)][0]).items():
+        # What any month of the year may reject; the year's own pickups lie outside.
+        last = max(month for y, month in periods.values() if y == year)
+        rejects.append(transform_many(months.where(untrusted_pickup(ntz(datetime(year - 1, last, 1)), ntz(now))), listed, now)[1])
+    rejected = union_all(rejects)
+    raw = raw.select("source_file")
     run = sinks.new_run(out)
     try:
         written = {}
@@ -99,7 +112,7 @@ def clean_months(
         result = spark.createDataFrame(rows, summary.schema)
         empty = sorted(set(sources) - {r["source_file"] for r in rows})
         if empty:
-            raise ValueError(f"Dataset is empty: {empty}")
+            raise ValueError(f"Months without rows, empty: {empty}")
         sinks.write_quality_reports(result, f"{run}/quality")
         none = {
             half: sinks.write_empty(spark, like, f"{run}/none_{half}")
@@ -107,12 +120,16 @@ def clean_months(
             if any(r["metric"] == f"{half}_rows" and not r["count"] for r in rows)
         }
         counts = {(r["source_file"], r["metric"]): r["count"] for r in rows}
-        for source in sources:
+
+        def point(source: str) -> None:
             paths = {
                 half: sinks.source_folder(f"{run}/{half}", source) if counts[source, f"{half}_rows"] else none[half]
                 for half in sinks.HALVES
             }
             sinks.point_to(spark, out, source, {**paths, "quality": sinks.source_folder(f"{run}/quality", source)})
+
+        with ThreadPoolExecutor(POINTER_WRITERS) as pool:
+            list(pool.map(point, sources))
     except Exception:
         # Sources already pointed to this run keep it.
         if not any(run in p for s in sources for p in sinks.current(spark, out, s).values()):

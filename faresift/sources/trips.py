@@ -7,19 +7,21 @@ as Spark writes it. Its name is the ``source_file`` of its rows in both cases.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faresift import schema as S
 from faresift.functions.scalars import union_all
 from faresift.operators.cleaning import check_month
-from faresift.operators.gate import schema_violations
+from faresift.operators.gate import part_violations
 from faresift.session import hadoop_path
 
 FOOTER_READERS = 16
+FAULTS_SAID = 20
 
 
 def require_source(spark: SparkSession, path: str) -> None:
@@ -65,6 +67,20 @@ def with_position(df: DataFrame) -> DataFrame:
     )
 
 
+def with_month_position(df: DataFrame) -> DataFrame:
+    """Add ``source_file`` and ``month_position``, the place of each row in its month over all its part files in name order.
+
+    The rows before a part are summed up over one row per part file.
+    """
+    path, index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    placed = df.withColumns({"source_file": source_name(path), "_path": path, "_index": index})
+    parts = placed.groupBy("source_file", F.col("_path").alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("source_file").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = parts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("bigint")).alias("_ahead"))
+    found = placed.join(ahead, F.col("_path") == F.col("_part"))
+    return found.withColumn("month_position", F.col("_ahead") + F.col("_index")).drop("_path", "_part", "_index", "_ahead")
+
+
 def first_rows(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     """First ``n`` rows of a month by the place in its files; no column is read to find the places."""
     placed = with_position(spark.read.parquet(path)).where(F.col("_metadata.row_index") < n)
@@ -130,31 +146,69 @@ def _whole_schema(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def month_frames(spark: SparkSession, paths: list[str]) -> dict[str, DataFrame]:
-    """One lazy frame per month by its name, each checked against the source schema on its own.
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the data files of a month in name order: the file itself, or those of its folder."""
+    place, fs = hadoop_path(spark, path)
+    if fs.getFileStatus(place).isFile():
+        return [path]
+    data = lambda s: s.isFile() and s.getLen() and s.getPath().getName()[0] not in "_."
+    return sorted(s.getPath().toString() for s in fs.listStatus(place) if data(s))
+
 
-    A read of all paths at once would take the schema of one file and hide an extra column in
-    another. The footers of all part files of a month are read by a Spark job, several months side by side.
-    """
+def file_schemas(spark: SparkSession, files: list[str]) -> dict[str, T.StructType]:
+    """The schema of each file's own footer, read by small Spark jobs side by side."""
     with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        found = dict(zip(map(base_name, paths), pool.map(lambda p: _whole_schema(spark, p), paths)))
-    faults = [f"{name}: {rule} {column}" for name, df in found.items() for rule, column, _ in schema_violations(df.schema)]
+        return dict(zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files), strict=True))
+
+
+def schema_faults(schemas: dict[str, dict[str, T.StructType]]) -> list[tuple[str, str, str, str, str]]:
+    """(month, file, rule, column, detail) over the part files of each month."""
+    return [(month, *fault) for month, parts in schemas.items() for fault in part_violations(parts)]
+
+
+def describe_faults(faults: list[tuple[str, str, str, str, str]]) -> str:
+    """The faults as one line, each with its month and, of several parts, the file; the first FAULTS_SAID of them."""
+    place = lambda month, file: month if base_name(file) == month else f"{month}/{base_name(file)}"
+    said = [f"{place(month, file)}: {rule} {column}" for month, file, rule, column, _ in faults[:FAULTS_SAID]]
+    return "; ".join(said) + (f"; {len(faults) - FAULTS_SAID} more" if len(faults) > FAULTS_SAID else "")
+
+
+def month_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
+    """The schema of each month by its path; months with a part file that breaks the rules are refused by name."""
+    parts = {p: part_files(spark, p) for p in paths}
+    known = file_schemas(spark, [f for own in parts.values() for f in own])
+    faults = schema_faults({base_name(p): {f: known[f] for f in own} for p, own in parts.items()})
     if faults:
-        raise ValueError("Source validation failed:\n- " + "\n- ".join(faults))
-    return {name: settle(df) for name, df in found.items()}
+        raise ValueError(f"Refused for {len(faults)} schema faults: {describe_faults(faults)}")
+    empty = [base_name(p) for p, own in parts.items() if not own]
+    if empty:
+        raise ValueError(f"Months without data files: {empty}")
+    return {p: known[own[0]] for p, own in parts.items()}
 
 
-def typed(df: DataFrame) -> DataFrame:
+def read_alike(spark: SparkSession, schemas: dict[str, T.StructType], group: Callable[[str], object] = lambda p: None) -> dict[object, DataFrame]:
+    """Months in the types of the source schema with ``source_file``, by what ``group`` says of their path.
+
+    Months of one schema are one scan, however many; the name comes from the path of each file.
+    """
+    alike: dict[tuple, list[str]] = {}
+    for path, schema in schemas.items():
+        alike.setdefault((group(path), tuple(sorted((f.name, f.dataType.simpleString()) for f in schema.fields))), []).append(path)
+    found: dict[object, list[DataFrame]] = {}
+    for (key, _), paths in alike.items():
+        df = settle(spark.read.schema(schemas[paths[0]]).parquet(*paths))
+        found.setdefault(key, []).append(typed(df, source_name(F.col("_metadata.file_path")).alias("source_file")))
+    return {key: union_all(frames) for key, frames in found.items()}
+
+
+def typed(df: DataFrame, *more: Column) -> DataFrame:
     """A month in the types of the source schema, to be united with others."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRIP_SCHEMA.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TRIP_SCHEMA.fields], *more)
 
 
 def read_months(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Many months as one frame with ``source_file``, in the types of the source schema.
-
-    Each month is a scan of its own with its name as a literal, so no path is taken apart per row.
-    """
-    return union_all([with_lineage(typed(df), name) for name, df in month_frames(spark, paths).items()])
+    """Many months as one frame with ``source_file``, in the types of the source schema; see ``read_alike``."""
+    return read_alike(spark, month_schemas(spark, paths))[None]
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
