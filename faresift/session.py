@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,8 @@ SETTINGS = {
     # Plans here have hundreds of column expressions: do not look up the caller for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Names of scratch folders begin like this.
+SCRATCH_PREFIXES = ("faresift-", "llm-")
 
 
 def get_session(app_name: str = "faresift", master: str | None = None, **extra: str) -> SparkSession:
@@ -49,6 +52,21 @@ def work_dir(spark: SparkSession) -> str:
     return f"{work_root(spark)}/faresift-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession, min_age_hours: float = 168.0) -> list[str]:
+    """Remove folders that this library left in the shared scratch folder and that were not written to for so long.
+
+    Results that were returned lazily read such folders, so choose an age that outlives every job.
+    """
+    root, fs = hadoop_path(spark, work_root(spark))
+    removed = []
+    for status in fs.listStatus(root):
+        place, age = status.getPath(), time.time() - status.getModificationTime() / 1000
+        if place.getName().startswith(SCRATCH_PREFIXES) and age >= min_age_hours * 3600:
+            fs.delete(place, True)
+            removed.append(place.toString())
+    return removed
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(Path, FileSystem) of Hadoop for a path in any storage Spark can reach."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)

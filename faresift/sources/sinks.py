@@ -9,6 +9,7 @@ they were. Executors lost on the way only cost retries: each write is one Spark
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,7 @@ def current(spark: SparkSession, out: str, source_file: str) -> dict[str, str]:
     place, fs = hadoop_path(spark, _pointer(out, source_file))
     if not fs.exists(place):
         return {}
-    stream = fs.open(place)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
+    return json.loads(_text(fs, place))
 
 
 def finished_sources(spark: SparkSession, out: str) -> DataFrame:
@@ -68,6 +65,62 @@ def drop_run(spark: SparkSession, run: str) -> None:
     fs.delete(place, True)
 
 
+def _last_change(fs, place) -> int:
+    """Latest time, in milliseconds, at which anything below a folder was written."""
+    latest, files = fs.getFileStatus(place).getModificationTime(), fs.listFiles(place, True)
+    while files.hasNext():
+        latest = max(latest, files.next().getModificationTime())
+    return latest
+
+
+def sweep(spark: SparkSession, out: str, min_age_hours: float = 168.0, now: float | None = None) -> list[str]:
+    """Remove runs that no source points to any more; returns the paths removed.
+
+    Mark and sweep: a run that is met without a pointer is marked, and goes when a later call finds it still
+    without one and both its mark and its last write are older than ``min_age_hours``. So whoever read the pointer before it
+    moved has that long to finish, and so has a run in progress between two of its writes. A run that is pointed to
+    again loses its mark. ``now`` is the clock in seconds, for tests.
+    """
+    now = time.time() if now is None else now
+    root = out.rstrip("/")
+    runs, fs = hadoop_path(spark, f"{root}/runs")
+    if not fs.exists(runs):
+        return []
+    pointers, _ = hadoop_path(spark, _pointer(out, "*"))
+    pointed = set()
+    for status in fs.globStatus(pointers) or []:
+        for path in current(spark, out, status.getPath().getName().removesuffix(".json")).values():
+            pointed.add(path.partition("/runs/")[2].partition("/")[0])
+    removed = []
+    for status in fs.listStatus(runs):
+        place, name = status.getPath(), status.getPath().getName()
+        mark, _ = hadoop_path(spark, f"{root}/unused/{name}")
+        if name in pointed:
+            if fs.exists(mark):
+                fs.delete(mark, False)
+            continue
+        if not fs.exists(mark):
+            stream = fs.create(mark, True)
+            try:
+                stream.write(bytearray(str(now).encode()))
+            finally:
+                stream.close()
+        marked = float(_text(fs, mark))
+        if min(now - marked, now - _last_change(fs, place) / 1000) >= min_age_hours * 3600:
+            fs.delete(place, True)
+            fs.delete(mark, False)
+            removed.append(f"{root}/runs/{name}")
+    return removed
+
+
+def _text(fs, place) -> str:
+    stream = fs.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def write_empty(spark: SparkSession, like: DataFrame, path: str) -> str:
     """A file without rows in the schema of a frame, for a half that got none."""
     spark.createDataFrame([], like.schema).coalesce(1).write.parquet(path)

@@ -250,3 +250,23 @@ def test_ranked_values_keep_null_groups_and_many_digits(spark):
     found = ranked_values(spark.createDataFrame(rows, "g int, value double"), ["g"], F.array(F.lit(0.5)), bounded=False).collect()
     expected = {g: float(np.median([v for k, v in rows if k == g])) for g in (None, 1, 2)}
     assert {r["g"]: r["quantile"] for r in found} == pytest.approx(expected, rel=1e-15)
+
+
+def test_sketches_of_months_unite(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"m{i % 3}", int(v), None if i % 5 == 0 else f"t{v % 700}", float(v) / 3) for i, v in enumerate(rng.integers(0, 20_000, 30_000))]
+    df = spark.createDataFrame(rows, "source_file string, a long, b string, c double")
+    sketches = profiling.profile_sketches(df)
+    assert sketches.count() == 9
+    exact = {r["column"]: r for r in profiling.column_profile(df.drop("source_file")).collect()}
+    months = [profiling.profile_sketches(df.where(F.col("source_file") == m)) for m in ("m0", "m1", "m2")]
+    united = profiling.united_profile(months[0].union(months[1]).union(months[2])).collect()
+    assert {r["column"]: r["unique_including_na"] for r in united} == {
+        r["column"]: r["unique_including_na"] for r in profiling.united_profile(sketches).collect()
+    }
+    for r in united:
+        own = exact[r["column"]]
+        assert (r["missing"], r["missing_pct"], r["dtype"]) == (own["missing"], own["missing_pct"], own["dtype"])
+        assert abs(r["unique_including_na"] - own["unique_including_na"]) <= 0.03 * own["unique_including_na"]
+    one = profiling.united_profile(profiling.profile_sketches(df.withColumn("source_file", F.lit("all")))).collect()
+    assert all(abs(a["unique_including_na"] - b["unique_including_na"]) <= 0.03 * b["unique_including_na"] for a in one for b in united if a["column"] == b["column"])

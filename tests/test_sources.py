@@ -1,5 +1,7 @@
 """Reading, lineage, writing, landing and the two cleaning jobs on real files."""
 
+import os
+import time
 from datetime import datetime
 
 import pyarrow as pa
@@ -8,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faresift import schema as S
+from faresift.operators.cleaning import transform_trips
 from faresift.operators.diagnostics import segment_contiguity
 from faresift.plans import report
 from faresift.plans import clean
@@ -309,3 +312,122 @@ def test_profile_and_report_run_whole(spark, tmp_path):
     wanted = {"preview", "segment_contiguity", "period_outliers", "passenger_value_counts", "near_24h_rows", "date_issue_unexplained"}
     assert wanted <= set(found) and len(found) == 42
     assert found["segment_contiguity"].first()["first_position"] == 1
+
+
+def spoiled(folder, how):
+    """A month of two part files, one of which lacks ``extra`` or has it as text."""
+    (folder / JAN).mkdir(parents=True, exist_ok=True)
+    save(folder / JAN / "a.parquet", {}, {})
+    save(folder / JAN / "b.parquet", {})
+    table = pq.read_table(folder / JAN / "b.parquet")
+    at = table.schema.get_field_index("extra")
+    odd = table.drop_columns("extra") if how == "missing_column" else table.set_column(at, "extra", table["extra"].cast(pa.string()))
+    pq.write_table(odd, folder / JAN / "b.parquet")
+
+
+@pytest.mark.parametrize("rule", ["missing_column", "part_type"])
+def test_one_odd_part_file_is_refused_by_name(spark, tmp_path, rule):
+    src = tmp_path / "src"
+    spoiled(src, rule)
+    save(src / FEB, in_february())
+    named = f"{JAN}/b.parquet: {rule} extra"
+    with pytest.raises(ValueError, match=named):
+        source.read_trips(spark, str(src))
+    with pytest.raises(ValueError, match=named):
+        clean_month(spark, str(src / JAN), str(tmp_path / "out"), NOW)
+    with pytest.raises(ValueError, match=named):
+        clean_months(spark, str(src), str(tmp_path / "out"), NOW)
+    with pytest.raises(Exception, match=named):
+        ingest_incremental(spark, str(src), str(tmp_path / "dst"), str(tmp_path / "checkpoint"))
+    assert not (tmp_path / "out").exists() and not (tmp_path / "dst").exists()
+
+
+def test_months_of_one_schema_are_one_scan(spark, tmp_path):
+    for month in range(1, 13):
+        save(tmp_path / f"yellow_tripdata_2024-{month:02}.parquet", {})
+    save(tmp_path / "yellow_tripdata_2025-01.parquet", {}, passenger_count=pa.int64())
+    plan = source.read_trips(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
+def test_clean_months_over_years_and_schemas_equals_month_by_month(spark, tmp_path):
+    day = lambda y, m, d=5: {S.PICKUP: datetime(y, m, d), S.DROPOFF: datetime(y, m, d, 1)}
+    src, together, alone = tmp_path / "src", str(tmp_path / "together"), str(tmp_path / "alone")
+    src.mkdir()
+    names = [f"yellow_tripdata_{y}-{m:02}.parquet" for y, m in ((2022, 3), (2022, 11), (2023, 1), (2023, 12))]
+    # Rows around each month's trusted start, a year before it: some are rejected in one month and kept in another.
+    rows = [day(y, m) for y, m in ((2021, 2), (2021, 4), (2021, 12), (2022, 1), (2022, 12), (2024, 2))] + [{S.PICKUP: None}, day(2030, 1)]
+    for name in names[:3]:
+        save(src / name, *rows)
+    save(src / names[3], *rows, VendorID=pa.int64())
+    clean_months(spark, str(src), together, NOW)
+    for name in names:
+        clean_month(spark, str(src / name), alone, NOW)
+        for half in sinks.HALVES:
+            a, b = (spark.read.parquet(sinks.current(spark, o, name)[half]) for o in (together, alone))
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))
+            assert a.count() > 0
+
+
+def test_quarantine_lets_the_other_months_land(spark, tmp_path):
+    src, dst, checkpoint, aside = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "checkpoint"), str(tmp_path / "aside")
+    spoiled(src, "missing_column")
+    save(src / FEB, in_february(), in_february())
+    save(src / "yellow_tripdata_2024-03.parquet", {})
+    save(src / "yellow_tripdata_2024-04.parquet", {"payment_type": 9}, {"payment_type": 77})
+    run = lambda: ingest_incremental(spark, str(src), dst, checkpoint, quarantine=aside).collect()
+    counted = lambda: {r[0]: r[1] for r in spark.read.parquet(dst).groupBy("source_file").count().collect()}
+    faults = {(r["source_file"], (r["file_name"] or "").rsplit("/", 1)[-1], r["rule"], r["column"]) for r in run()}
+    assert faults == {(JAN, "b.parquet", "missing_column", "extra"), ("yellow_tripdata_2024-04.parquet", "", "unknown_code", "payment_type")}
+    assert counted() == {FEB: 2, "yellow_tripdata_2024-03.parquet": 1}
+    assert {r["source_file"] for r in run()} == {JAN, "yellow_tripdata_2024-04.parquet"}
+
+    save(src / FEB, in_february(), in_february(), in_february())
+    spark.catalog.refreshByPath(str(src))
+    replaced = [r for r in run() if r["rule"] == "replaced_file"]
+    assert [r["source_file"] for r in replaced] == [FEB] and "bytes" in replaced[0]["detail"]
+    assert counted() == {FEB: 2, "yellow_tripdata_2024-03.parquet": 1}
+
+
+def test_sweep_keeps_what_is_pointed_to_or_young(spark, tmp_path):
+    path, out = save(tmp_path / JAN, {}), str(tmp_path / "out")
+    halves = transform_trips(source.read_trips(spark, path), 2024, 1, JAN, NOW)
+    first = sinks.write_outputs(*halves, out, JAN)
+    for _ in range(9):
+        last = sinks.write_outputs(*halves, out, JAN)
+    runs = lambda: sorted(p.name for p in (tmp_path / "out" / "runs").iterdir())
+    # The first sweep only marks: a reader of an older run has its time.
+    assert sinks.sweep(spark, out, 1.0, time.time() + 7200) == [] and len(runs()) == 10
+    assert spark.read.parquet(first["processed"]).count() == 1
+    assert sinks.sweep(spark, out, 1.0, time.time() + 7200 + 1800) == []
+    # A run in progress, written to just now, stays whatever its mark says.
+    (tmp_path / "out" / "runs" / "young").mkdir()
+    later = time.time() + 7200 + 3601
+    os.utime(tmp_path / "out" / "runs" / "young", (later, later))
+    assert len(sinks.sweep(spark, out, 1.0, later)) == 9
+    assert len(runs()) == 2 and "young" in runs()
+    assert spark.read.parquet(sinks.current(spark, out, JAN)["processed"]).count() == 1 and sinks.current(spark, out, JAN) == last
+
+
+def test_positions_over_several_part_files(spark, tmp_path):
+    (tmp_path / JAN).mkdir()
+    save(tmp_path / JAN / "b.parquet", FLEX, {}, {})
+    save(tmp_path / JAN / "a.parquet", {}, {}, FLEX)
+    placed = source.with_month_position(source.read_month(spark, str(tmp_path / JAN)))
+    assert sorted(r["month_position"] for r in placed.collect()) == list(range(6))
+    row = segment_contiguity(placed, "month_position", "source_file").first()
+    assert (row["first_position"], row["last_position"], row["segment_rows"], row["contiguous"]) == (2, 3, 2, True)
+
+
+def test_two_hundred_and_forty_months_are_one_short_plan(spark, tmp_path):
+    for year in range(2005, 2025):
+        for month in range(1, 13):
+            save(tmp_path / f"yellow_tripdata_{year}-{month:02}.parquet", {})
+    paths = source.month_paths(spark, str(tmp_path))
+    source.month_schemas(spark, paths[:2])
+    started = time.perf_counter()
+    schemas = source.month_schemas(spark, paths)
+    years = source.read_alike(spark, schemas, lambda p: source.reporting_period(source.base_name(p))[0])
+    plan = source.read_alike(spark, schemas)[None]._jdf.queryExecution().executedPlan().toString()
+    assert time.perf_counter() - started < 15
+    assert len(paths) == 240 and plan.count("FileScan") == 1 and len(years) == 20
