@@ -1,5 +1,6 @@
 """Line chunks, packing, chat formatting, page extraction and secrets."""
 
+import time
 import hashlib
 import zlib
 from collections import defaultdict
@@ -245,11 +246,26 @@ def test_article_copies_on_a_host_stay():
     assert extraction.main_texts([page, page]) == ["the very same article text on two pages"] * 2
 
 
-def test_repetition_decides_beside_and_inside_articles():
+def test_repetition_decides_beside_articles_and_never_inside():
     notice = "This notice stands on every page of the site and says nothing new"
     page = "<body><article><p>teaser {0}</p></article><div>Main words {0} of the page {0}</div><div>{1}</div><article><p>own {0} text</p><p>{1}</p></article>"
     pages = [page.format(f"n{i}", notice) for i in range(5)]
-    assert extraction.main_texts(pages) == [f"teaser n{i}\n\nMain words n{i} of the page n{i}\n\nown n{i} text" for i in range(5)]
+    want = [f"teaser n{i}\n\nMain words n{i} of the page n{i}\n\nown n{i} text\n\n{notice}" for i in range(5)]
+    assert extraction.main_texts(pages) == want
+
+
+def test_a_sentence_that_two_articles_share_is_content():
+    shared = passage("both", 12)
+    pages = [f"<body><div>Welcome to our shared site today</div><article><p>{passage(f'a{i}', 20)}</p><p>{shared}</p>tail {shared}</article>" for i in range(2)]
+    assert extraction.main_texts(pages) == [f"{passage(f'a{i}', 20)}\n\n{shared}\n\ntail {shared}" for i in range(2)]
+
+
+@pytest.mark.parametrize("odd", ["<b>x", "</q>x", "<div>x", "<b></q>x", "<p><b>x", "<li>x</i>", "<p>x<i>"])
+def test_odd_markup_takes_linear_time(odd):
+    started = time.perf_counter()
+    found = extraction.blocks_of("<article>" + odd * 20_000)
+    assert time.perf_counter() - started < 2
+    assert sum(b.text.count("x") for b in found) == 20_000
 
 
 def test_copies_and_near_copies_without_article_stay():
