@@ -36,7 +36,7 @@ NEIGHBOURS = 3
 ISSUED = (
     r"AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{50,}|glpat-[A-Za-z0-9_-]{20,}"
     r"|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}"
-    r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]*PRIVATE KEY-----"
 )
 SECRET_NAMES = frozenset(
     "password passwd passphrase pwd pass secret token apikey key auth credential credentials bearer authorization private access".split()
@@ -45,7 +45,8 @@ HARMLESS_NAMES = frozenset("commit sha sha1 sha256 md5 digest checksum hash uuid
 
 _CANDIDATE = re.compile(
     rf"(?P<issued>{ISSUED})"
-    r"|(?P<named>(?i:[a-z_-]*(?:passw(?:or)?d|passphrase|pwd|secret|token|api_?-?key|credential|access_?-?key)[a-z_-]*)"
+    # A name is a whole run of letters and dashes, looked through once from its start: linear in the text.
+    r"|(?P<named>(?i:(?<![a-z_-])(?=[a-z_-]*(?:passw(?:or)?d|passphrase|pwd|secret|token|api_?-?key|credential|access_?-?key))[a-z_-]++)"
     r"[\"']?[ \t]*(?::=|=>|[:=])[ \t]*[\"']?(?P<value>[^\s\"'<>,;]{6,}))"
     r"|(?P<bare>(?<![A-Za-z0-9+/=_.@-])(?=[A-Za-z+/=_.@-]*[0-9])[A-Za-z0-9+/=_-]{16,}(?![A-Za-z0-9@]))"
 )
