@@ -22,12 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from faresift.llm.common import materialise
-from faresift.llm.tokens import encoder, vocabulary_path
+from faresift.llm.tokens import encoder, parts_of, vocabulary_path
 
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 4096
-DOCS_AT_ONCE = 512
 ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 24
@@ -199,12 +198,13 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(at).encode
-        for whole in batches:
-            # A few documents at a time: their ids, not those of a whole batch, are held.
-            for batch in (whole.slice(at, DOCS_AT_ONCE) for at in range(0, whole.num_rows, DOCS_AT_ONCE)):
+        for batch in batches:
+            ids, whole = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            # The ids of a part of the documents, not of a whole batch, are held at a time.
+            for part in parts_of(whole):
                 rows: list[list] = [[] for _ in arrow]
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                for doc_id, packed in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
+                texts = whole[part]
+                for doc_id, packed in zip(ids[part], encode(texts), strict=True):
                     packed += END_ID.to_bytes(4, "little")
                     for piece, start in enumerate(range(0, len(packed) // 4, capacity)):
                         own = packed[4 * start : 4 * (start + capacity)]

@@ -8,18 +8,23 @@ this way; any other text, and texts that hold a special token's string, are enco
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
 VOCABULARY = "word_bpe_49k.json"
-# Chunks and words kept per generation; two generations are held, and what is met again moves to the newer one.
-REMEMBERED = 200_000
-TEXTS_AT_ONCE = 256
+# Chunks kept; beyond them all are forgotten and learnt again as they come.
+REMEMBERED = 400_000
+# Texts that are looked at together, by their number and their characters (one text may have more).
+TEXTS_AT_ONCE = 4096
+CHARS_AT_ONCE = 2_000_000
 WORDS_AT_ONCE = 512
 # Sure are Latin letters but the dotted capital I, common punctuation and currency signs; not controls and no-break spaces.
 _UNSURE_BYTES = bytes([*range(9), *range(0x0E, 0x20), *range(0x7F, 0xA1)])
@@ -36,24 +41,39 @@ def _sure(text: str) -> bool:
     return len(raw.translate(None, _UNSURE_BYTES)) == len(raw)
 
 
-class Memory:
-    """Ids of strings, in two generations."""
+def parts_of(texts: list[str]) -> Iterator[slice]:
+    """Slices of texts that are looked at together."""
+    start = chars = 0
+    for at, text in enumerate(texts):
+        if at > start and (at - start >= TEXTS_AT_ONCE or chars + len(text) > CHARS_AT_ONCE):
+            yield slice(start, at)
+            start, chars = at, 0
+        chars += len(text)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+class Chunks:
+    """Ids of chunks, or words, in one array, each chunk by its number."""
 
     def __init__(self) -> None:
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(0, "<u4")
+        self.starts = np.zeros(1, np.int64)
 
-    def unknown(self, keys: set[str]) -> set[str]:
-        """Of keys, those never met or forgotten; the others are in the newer generation afterwards."""
-        missing = keys - self.new.keys()
-        again = missing & self.old.keys()
-        for key in again:
-            self.new[key] = self.old[key]
-        return missing - again
+    def add(self, chunks: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        if not chunks:
+            return
+        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)), strict=True))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
 
-    def age(self) -> None:
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the ids of these chunks one after the other, and where each chunk's begin, with the end."""
+        starts = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - starts
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        return self.ids[np.repeat(starts - bounds[:-1], sizes) + np.arange(bounds[-1])], bounds
 
 
 class Encoder:
@@ -71,7 +91,7 @@ class Encoder:
             and rules["model"].get("end_of_word_suffix")
         )
         self.specials = [t["content"] for t in rules["added_tokens"]]
-        self.words, self.chunks = Memory(), Memory()
+        self.words, self.chunks = Chunks(), Chunks()
         self.pattern = None
         if chunked:
             self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
@@ -85,28 +105,54 @@ class Encoder:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _learn_words(self, words: list[str]) -> None:
+        ids, sizes = [], []
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
-            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            own = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[own]) + 1
             assert len(stops) == len(some), "a word without an end"
-            packed = ids.tobytes()
-            self.words.new.update(zip(some, [packed[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
-
-    def _learn_chunks(self, chunks: set[str]) -> None:
-        plain = {c for c in chunks if c.isalpha()}
-        ended = [(c[:-1], c[-1], c) for c in chunks - plain if c[:-1].isalpha() and c[-1] in ".,;:!?"]
-        other = chunks - plain - {c for _, _, c in ended}
-        parts = {c: self.pattern.findall(c) for c in other}
-        words = plain.union([w for w, _, _ in ended], [m for _, m, _ in ended], *parts.values())
-        self._learn_words(list(self.words.unknown(words)))
-        ids, found = self.words.new, self.chunks.new
-        found.update((c, ids[c]) for c in plain)
-        found.update((c, ids[w] + ids[m]) for w, m, c in ended)
-        found.update((c, b"".join([ids[w] for w in own])) for c, own in parts.items())
+            ids.append(own)
+            sizes.append(np.diff(stops, prepend=0))
+        self.words.add(words, ids, sizes)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Chunks that are not known yet, by their words; each different word is encoded once."""
+        words, counts = [], []
+        for c in chunks:
+            if c.isalpha():
+                words.append(c)
+                counts.append(1)
+            elif c[:-1].isalpha() and c[-1] in ".,;:!?":
+                words += c[:-1], c[-1]
+                counts.append(2)
+            else:
+                own = self.pattern.findall(c)
+                words += own
+                counts.append(len(own))
+        number = self.words.number
+        self._learn_words(list({w for w in words if w not in number}))
+        ids, bounds = self.words.gather(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+        self.chunks.add(chunks, [ids], [np.diff(bounds[np.cumsum([0, *counts])])])
+
+    def _by_chunks(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts on which all Unicode versions agree: each different chunk is looked up once, ids are gathered."""
+        split = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.large_string()))
+        chunks = split.flatten().dictionary_encode()
+        different = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = self.chunks.number
+        found = list(map(number.get, different))
+        if None in found:
+            unknown = [k for k, n in enumerate(found) if n is None]
+            self._learn([different[k] for k in unknown])
+            for k in unknown:
+                found[k] = number[different[k]]
+        numbers = np.array(found, np.int64)
+        ids, bounds = self.chunks.gather(numbers[chunks.indices.to_numpy()])
+        ends = bounds[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def forget(self) -> None:
-        self.words, self.chunks = Memory(), Memory()
+        self.words, self.chunks = Chunks(), Chunks()
 
     @cached_property
     def full(self) -> Tokenizer:
@@ -118,17 +164,13 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found: list[bytes] = []
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            some = texts[at : at + TEXTS_AT_ONCE]
-            split = [
-                t.lower().split() if self.pattern and _sure(t) and not any(s in t for s in self.specials) else None
-                for t in some
-            ]
-            self._learn_chunks(self.chunks.unknown(set().union(*[s for s in split if s])))
-            known = self.chunks.new.__getitem__
-            found += [self._whole(t) if s is None else b"".join(map(known, s)) for t, s in zip(some, split, strict=True)]
-            self.words.age()
-            self.chunks.age()
+        for part in parts_of(texts):
+            some = texts[part]
+            sure = [bool(self.pattern) and _sure(t) and not any(s in t for s in self.specials) for t in some]
+            known = iter(self._by_chunks([t for t, s in zip(some, sure, strict=True) if s]) if any(sure) else ())
+            found += [next(known) if s else self._whole(t) for t, s in zip(some, sure, strict=True)]
+            if len(self.chunks.number) > REMEMBERED:
+                self.forget()
         return found
 
 
