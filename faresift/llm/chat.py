@@ -24,6 +24,8 @@ from tokenizers import AddedToken, Tokenizer, pre_tokenizers, processors
 TOKENIZER = "byte_bpe_50k.json"
 TURN, SAYS, DONE = "<|turn|>", "<|says|>", "<|done|>"
 LEARNED_ROLE = "assistant"
+# Characters of conversations that make up a batch of results (one conversation may have more).
+CHARS_AT_ONCE = 1_000_000
 
 _TO_ESCAPE = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
@@ -125,13 +127,32 @@ def format_conversations(conversations: DataFrame, path: str | None = None) -> D
     for field in StructType.fromDDL(_RESULT):
         schema = schema.add(field)
     arrow = to_arrow_schema(schema)
-    span = lambda pairs: [{"first": a, "after": b} for a, b in pairs.tolist()]
+
+    def batch_of(convs: list, found: list[dict]) -> pa.RecordBatch:
+        sizes = np.cumsum([0, *[len(one["ids"]) for one in found]])
+        pairs = np.concatenate([one["offsets"] for one in found]).astype(np.int32)
+        spans = arrow.field("offsets").type.value_type
+        values = {
+            "ids": pa.array(np.concatenate([np.array(one["ids"], np.int32) for one in found]), pa.int32()),
+            "loss_mask": pa.array(np.concatenate([one["mask"] for one in found])),
+            "offsets": pa.StructArray.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], fields=list(spans)),
+        }
+        lists = [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), v, type=arrow.field(n).type) for n, v in values.items()]
+        columns = [pa.array(convs, arrow[0].type), pa.array([one["formatted"] for one in found], arrow[1].type), *lists]
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        convs, found, chars = [], [], 0
         for conv, turns in _conversations(batches):
             one = format_one(turns, at)
-            row = [conv, one["formatted"], one["ids"], one["mask"].tolist(), span(one["offsets"])]
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow, strict=True)], schema=arrow)
+            convs.append(conv)
+            found.append(one)
+            chars += len(one["formatted"])
+            if chars >= CHARS_AT_ONCE:
+                yield batch_of(convs, found)
+                convs, found, chars = [], [], 0
+        if found:
+            yield batch_of(convs, found)
 
     return rows.mapInArrow(run, schema)
 
@@ -145,11 +166,15 @@ def digests(formatted: DataFrame) -> DataFrame:
     def read(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, masks, spans in batches:
             rows = []
-            for text, mask, offsets in zip(texts, masks, spans, strict=True):
-                turns = parse(text.as_py())
+            # One pass over flat buffers; the lists of both columns have the same bounds.
+            bounds = (spans.offsets.to_numpy() - spans.offsets[0].as_py()).tolist()
+            mask = masks.flatten().to_numpy(zero_copy_only=False)
+            first, after = (spans.flatten().field(k).to_numpy() for k in (0, 1))
+            pairs = np.stack([first, after], axis=1)
+            for text, a, b in zip(texts.to_pylist(), bounds[:-1], bounds[1:], strict=True):
+                turns = parse(text)
                 seen = "".join(f"{role}\n{said}\n" for role, said in turns)
-                pairs = np.array([(o["first"], o["after"]) for o in offsets.as_py()], np.int64).reshape(-1, 2)
-                loss = masked_text(text.as_py(), pairs, np.array(mask.as_py(), bool))
+                loss = masked_text(text, pairs[a:b], mask[a:b])
                 sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
                 rows.append({"n_turns": len(turns), "turns_sha256": sha(seen), "loss_chars": len(loss), "loss_sha256": sha(loss)})
             yield pa.array(rows, out)
