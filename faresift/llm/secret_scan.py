@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -23,13 +24,16 @@ from pyspark.sql.types import StructType
 from faresift.llm.common import bounded_sample, held_out, materialise
 
 FOLDS, FOLD = 5, 0
-# Bounds of what is fitted: documents and bytes of each for the dictionary, labelled findings for the forest.
-DICTIONARY_DOCS = 2_000
-DICTIONARY_BYTES = 20_000
+# Labelled findings that the forest is fitted on.
 SAMPLE_FINDINGS = 20_000
 TREES, DEPTH, SEED = 24, 6, 42
 THRESHOLD = 0.5
-WORD_CHARS = 4
+# Letters of a dictionary word, and documents that hold it: this many, and one in so many of all.
+WORD_CHARS, WORD_MOST = 4, 12
+WORD_DOCS, DOCS_PER_WORD = 3, 1000
+# Seed of Spark's 64-bit hash; places of a value in one row, and parts of values in one batch.
+WORD_SEED = 42
+PARTS_AT_ONCE, PARTS_OF_BATCH = 4096, 100_000
 NEIGHBOURS = 3
 
 # Formats of known issuers, names that announce a secret, names of harmless digests and ids.
@@ -81,16 +85,27 @@ def _entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
-def _covered(value: str, known: frozenset[str]) -> float:
-    """Share of the characters inside dictionary words, longest words first at each place."""
-    low, at, hit, most = value.lower(), 0, 0, 12
-    while at < len(low):
-        size = next((k for k in range(min(most, len(low) - at), WORD_CHARS - 1, -1) if low[at : at + k] in known), 0)
-        hit, at = hit + size, at + max(1, size)
-    return hit / len(low)
+def _parts(value: str, start: int) -> list[dict]:
+    """Every run of WORD_CHARS to WORD_MOST letters of a value that begins at PARTS_AT_ONCE places from ``start`` on:
+    where it begins, its length and the hash that Spark gives it."""
+    low = value.lower()
+    found = []
+    for at in range(start, min(start + PARTS_AT_ONCE, len(low) - WORD_CHARS + 1)):
+        letters = _WORD.match(low, at, at + WORD_MOST)
+        most = letters.end() - at if letters else 0
+        found += [
+            {"at": at, "size": k, "hash": _signed(xxhash.xxh64_intdigest(low[at : at + k].encode("utf-8", "surrogatepass"), WORD_SEED))}
+            for k in range(WORD_CHARS, most + 1)
+        ]
+    return found
 
 
-def candidates_of(text: str, known: frozenset[str]) -> Iterator[dict]:
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
+def candidates_of(text: str) -> Iterator[dict]:
+    """Candidates of a text, each as one row with its features, and more rows with the parts of a value beyond PARTS_AT_ONCE."""
     for match in _CANDIDATE.finditer(text):
         issued = match["issued"] is not None
         name = "value" if match["value"] is not None else match.lastgroup if not issued else "issued"
@@ -114,7 +129,7 @@ def candidates_of(text: str, known: frozenset[str]) -> Iterator[dict]:
                 sum(c.isupper() for c in value) / n,
                 float(all(c in "0123456789abcdefABCDEF" for c in value)),
                 _entropy(value),
-                _covered(value, known),
+                0.0,  # dictionary_share, once the words are counted
                 float("/" in value or "\\" in value or before[-1:] in ("/", "\\") or "://" in before[-60:].split(" ")[-1]),
                 float(before[-1:] in ("'", '"')),
                 float(bool(re.search(r"[:=]\s*[\"']?$", before))),
@@ -122,39 +137,73 @@ def candidates_of(text: str, known: frozenset[str]) -> Iterator[dict]:
                 float(not HARMLESS_NAMES.isdisjoint(words)),
                 float(issued),
             ],
+            "parts": _parts(value, 0),
         }
+        for at in range(PARTS_AT_ONCE, n - WORD_CHARS + 1, PARTS_AT_ONCE):
+            yield {"first": start, "parts": _parts(value, at)}
 
 
 _FOUND = "first int, after int, rule string, value_sha256 string, harmless boolean, x array<double>"
+_PARTS = "parts array<struct<at:int,size:int,hash:bigint>>"
 
 
-def dictionary(docs: DataFrame) -> frozenset[str]:
-    """Words of letters met in three or more of a bounded sample of whole documents, taken by hash of the id."""
-    sample = bounded_sample(docs.filter(F.octet_length("text") <= DICTIONARY_BYTES), DICTIONARY_DOCS, "doc_id", "text")
-    words = sample.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
-    words = words.filter(F.char_length("word").between(WORD_CHARS, 12)).groupBy("word").count().filter("count >= 3")
-    return frozenset(r["word"] for r in words.collect())
+def dictionary(docs: DataFrame) -> DataFrame:
+    """(hash): words of WORD_CHARS to WORD_MOST letters that WORD_DOCS documents and one in DOCS_PER_WORD hold, counted over all."""
+    least = max(WORD_DOCS, docs.count() / DOCS_PER_WORD)
+    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
+    words = words.filter(F.char_length("word").between(WORD_CHARS, WORD_MOST)).groupBy(F.xxhash64("word").alias("hash"))
+    return words.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("hash")
 
 
-def candidates(docs: DataFrame, known: frozenset[str]) -> DataFrame:
-    """(doc_id, held_out, first, after, rule, value_sha256, harmless, x): every candidate of the whole texts."""
+def _found_in(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, held_out, first, after, rule, value_sha256, harmless, x, parts): see ``candidates_of``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = StructType([docs.schema["doc_id"]]).add("held_out", "boolean")
-    for field in StructType.fromDDL(_FOUND):
+    schema = StructType([docs.schema["doc_id"]]).add("held_out", "boolean").add("row", "long")
+    for field in StructType.fromDDL(f"{_FOUND}, {_PARTS}"):
         schema = schema.add(field)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                {"doc_id": doc_id, "held_out": out} | found
-                for doc_id, out, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-                for found in candidates_of(text or "", known)
-            ]
+            rows, parts = [], 0
+            for doc_id, out, row, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                for found in candidates_of(text or ""):
+                    rows.append({"doc_id": doc_id, "held_out": out, "row": row} | found)
+                    parts += len(found["parts"])
+                    if parts > PARTS_OF_BATCH:
+                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                        rows, parts = [], 0
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return docs.select("doc_id", held_out("doc_id", FOLDS, FOLD).alias("held_out"), "text").mapInArrow(run, schema)
+    named = docs.select("doc_id", held_out("doc_id", FOLDS, FOLD).alias("held_out"), F.monotonically_increasing_id().alias("row"), "text")
+    return named.mapInArrow(run, schema)
+
+
+def candidates(docs: DataFrame, known: frozenset[str] | None = None) -> DataFrame:
+    """(doc_id, held_out, first, after, rule, value_sha256, harmless, x): every candidate of the whole texts.
+
+    ``known`` are the dictionary's words if they are not to be counted.
+    The share of a value that dictionary words cover is found by joining the runs of letters in it with the words of
+    all documents, by hash; at each place the longest word counts, then the place behind it.
+    """
+    found = materialise(_found_in(docs), "candidates")
+    if known is None:
+        words = dictionary(docs.select("doc_id", "text"))
+    else:
+        words = docs.sparkSession.createDataFrame([(w,) for w in sorted(known)], "word string").select(F.xxhash64("word").alias("hash"))
+    met = found.select("row", "first", F.inline("parts")).join(words, "hash").groupBy("row", "first")
+    hits = F.array_sort(F.collect_list(F.struct("at", (-F.col("size")).alias("size"))))
+    start = F.struct(F.lit(0).alias("next"), F.lit(0).alias("hit"))
+    step = lambda had, word: F.when(
+        word["at"] >= had["next"], F.struct((word["at"] - word["size"]).alias("next"), (had["hit"] - word["size"]).alias("hit"))
+    ).otherwise(had)
+    shares = met.agg(F.aggregate(hits, start, step)["hit"].alias("hit"))
+    whole = found.filter("x IS NOT NULL").drop("parts").join(shares, ["row", "first"], "left")
+    share = F.coalesce(F.col("hit"), F.lit(0)) / F.get("x", FEATURES.index("length"))
+    at = FEATURES.index("dictionary_share")
+    filled = F.transform("x", lambda v, i: F.when(i == at, share).otherwise(v)).alias("x")
+    return whole.select("doc_id", "held_out", "first", "after", "rule", "value_sha256", "harmless", filled)
 
 
 def _x(name: str):
@@ -193,7 +242,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     score 1. Null and empty texts have no candidate; repeated rows give their candidates again. Values
     never leave as text. Other columns of docs are not read.
     """
-    found = materialise(candidates(docs, dictionary(docs.select("doc_id", "text"))), "candidates")
+    found = materialise(candidates(docs), "judged-candidates")
     if findings is None:
         labelled = rule_labels(found.filter("NOT held_out"))
     else:

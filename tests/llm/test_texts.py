@@ -361,3 +361,47 @@ def test_issued_formats_stay_where_no_label_covers_them(frame):
 def test_secret_query(spark):
     rows = queries.op3_secret_scan(spark, SMALL).collect()
     assert all(0 <= r.score <= 1 and r.first < r.after for r in rows)
+
+
+def slow_cover(value, known):
+    """Share of the characters inside known words, the longest word first at each place."""
+    low, at, hit = value.lower(), 0, 0
+    while at < len(low):
+        size = next((k for k in range(12, 3, -1) if low[at : at + k] in known and at + k <= len(low)), 0)
+        hit, at = hit + size, at + max(1, size)
+    return hit / len(low)
+
+
+@pytest.mark.parametrize("at_once", [4096, 5])
+def test_dictionary_cover_equals_brute_force(spark, frame, monkeypatch, at_once):
+    """Overlapping and nested words, capitals, accents, values over several rows, words in too few documents."""
+    monkeypatch.setattr(secret_scan, "PARTS_AT_ONCE", at_once)
+    known = {"river", "riverbank", "bank", "banker", "stone", "écoles", "unusually", "abcdefghijkl"}
+    values = ["riverbanker9", "bankriverstone1x", "xx7xx8xx9", "RiverBank77Stone", "mesécoles2024", "abcdefghijklm1", "riverriverbank-5", "rare9rareword"]
+    rows = [(i, f"token={v} " + ("rareword" if i < 1 else ""), "", 0, 0) for i, v in enumerate(values)]
+    rows += [(100 + i, " ".join(sorted(known)) + f" Unusually{i}", "", 0, 0) for i in range(3)]
+    docs = frame(rows, DOC)
+    at = secret_scan.FEATURES.index("dictionary_share")
+    for found in (secret_scan.candidates(docs), secret_scan.candidates(docs, frozenset(known))):
+        got = {r.doc_id: r.x[at] for r in found.collect() if r.rule == "named"}
+        assert got == pytest.approx({i: slow_cover(v, known) for i, v in enumerate(values)})
+
+
+def test_words_are_counted_over_all_documents(frame):
+    rows = [(i, f"common word{'' if i % 1500 else ' seldom'} x{i}", "", 0, 0) for i in range(6000)]
+    docs = frame([*rows, (9000, "common " * 50_000, "", 0, 0), (9001, None, "", 0, 0)], DOC)
+    assert secret_scan.dictionary(docs).count() == 2  # common and word; seldom stands in 4 of 6,002
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000, "token" * 200_000, "eyJ" * 300_000, "a-_" * 300_000])
+def test_long_runs_take_linear_time(text):
+    started = time.perf_counter()
+    assert list(secret_scan.candidates_of(text)) == []
+    assert time.perf_counter() - started < 3
+
+
+def test_a_long_value_is_one_candidate(frame):
+    value = "".join(f"river{i % 10}" for i in range(50_000))
+    found = secret_scan.candidates(frame([(1, f"password={value}", "", 0, 0)], DOC), frozenset({"river"})).collect()
+    assert [(r.first, r.after) for r in found] == [(9, 9 + len(value))]
+    assert found[0].x[secret_scan.FEATURES.index("dictionary_share")] == pytest.approx(5 / 6)
