@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from random import Random
 
 import numpy as np
 import pytest
@@ -72,6 +73,45 @@ def test_contamination_spans_point_into_the_original(frame):
     assert text.encode()[span["first"] : span["after"]].decode() == "Alpha-Beta!  gamma"
 
 
+def test_windows_of_random_items_equal_brute_force(monkeypatch):
+    random = Random(4)
+    say = lambda n, v: " ".join(f"w{random.randrange(v)}" for _ in range(n))
+    for _ in range(150):
+        v = random.choice([2, 5, 30])
+        monkeypatch.setattr(decontaminate, "PIECE_WORDS", random.choice([13, 17, 4096]))
+        items = [(i, say(random.choice([0, 1, 4, 5, 12, 13, 14, 30, 60]), v)) for i in range(random.randrange(6))]
+        text = say(random.randrange(30), v + 2)
+        for _, item in items:
+            words = item.split()
+            at = random.randrange(len(words) + 1)
+            text += " zz " * random.randrange(2) + " " + " ".join(words[at : at + random.randrange(40)])
+        found = decontaminate.Items(tuple((str(i), piece) for i, item in items for piece in decontaminate.pieces_of(item)))
+        n, spans, names = found.scan(text)
+        want = slow_contamination(text, items)
+        digest = hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert (n, sum(b - a for a, b in spans), len(names), digest) == want[:4]
+
+
+def test_parts_of_a_large_benchmark_are_bounded_and_equal(spark, frame, monkeypatch):
+    """Every part but a lone piece is within the bound, and steps give what one automaton gives."""
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole = {tuple(r)[:6] for r in decontaminate.contamination(docs, items).collect()}
+    size = items.selectExpr("sum(octet_length(text))").first()[0]
+    monkeypatch.setattr(decontaminate, "WINDOW_CHARS", size // 3)
+    parts = list(decontaminate._parts(items))
+    assert len(parts) > 2
+    assert all(sum(len(line) + len(i) for i, line in own) <= size // 3 or len(own) == 1 for own in parts)
+    assert {tuple(r)[:6] for r in decontaminate.contamination(docs, items).collect()} == whole
+
+
+def test_automaton_grows_with_the_items_and_not_with_their_windows():
+    random = Random(2)
+    line = b" ".join(b"w%d" % random.randrange(20_000) for _ in range(4000))
+    states = decontaminate.Items((("1", line),)).automaton.get_stats()["nodes_count"]
+    assert states < 2 * 4000
+
+
 def test_contamination_without_rows(frame):
     docs, none = frame([(1, "a b", "", "", 0, "")], DOC), frame([], "item_id long, text string")
     assert tuple(decontaminate.contamination(docs, none).first())[1:4] == (2, 0, 0)
