@@ -29,7 +29,9 @@ END_ID = 0
 GROUP_PIECES = 4096
 ISLANDS = 2
 EPOCHS = 2
+# Generations of an epoch: this many at least, more in small groups until so many pieces have been looked at.
 GENERATIONS = 24
+PLACEMENTS = 100_000
 POPULATION = 4
 # Share of a genome's bins that crossover injects, and of bins that mutation dissolves.
 INJECTED = 0.15
@@ -97,7 +99,7 @@ def evolve(lengths: list[int], population: list[Genome], capacity: int, seed: in
             rest = set(pieces) - set(opened)
             population.append(_place(lengths, [[i] for i in opened], list(rest), capacity))
     population = sorted(population, key=score)
-    for generation in range(GENERATIONS):
+    for generation in range(max(GENERATIONS, PLACEMENTS // max(1, len(lengths)))):
         if len(population[0]) <= least or len(population) < 2:
             break
         a, b = random.sample(population, 2)
@@ -109,23 +111,28 @@ def evolve(lengths: list[int], population: list[Genome], capacity: int, seed: in
     return population[0]
 
 
-_GENOME = "group long, island int, uid long, length int, bin int, n_bins int, fitness double"
+_GENOME = "group long, island int, uid long, length int, bin int, n_bins int, fitness double, met boolean"
 
 
-def _epoch(capacity: int, epoch: int):
+def _epoch(capacity: int, epoch: int | None):
+    """Evolve the genomes of an island, or best-fit its pieces where there is no epoch yet."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         group, island = int(pdf["group"].iloc[0]), int(pdf["island"].iloc[0])
         pieces = pdf.drop_duplicates("uid").sort_values("uid")
         uids = pieces["uid"].to_numpy()
         lengths = pieces["length"].tolist()
-        population: list[Genome] = []
-        for _, own in pdf[pdf["bin"] >= 0].groupby("origin", sort=True):
-            index = np.searchsorted(uids, own["uid"].to_numpy())
-            genome: dict[int, list[int]] = {}
-            for i, k in sorted(zip(index.tolist(), own["bin"].tolist(), strict=True)):
-                genome.setdefault(k, []).append(i)
-            population.append(list(genome.values()))
-        best = evolve(lengths, population, capacity, hash((group, island, epoch)))
+        if epoch is None:
+            best = _place(lengths, [], list(range(len(lengths))), capacity)
+        else:
+            population: list[Genome] = []
+            for _, own in pdf.groupby("origin", sort=True):
+                index = np.searchsorted(uids, own["uid"].to_numpy())
+                genome: dict[int, list[int]] = {}
+                for i, k in sorted(zip(index.tolist(), own["bin"].tolist(), strict=True)):
+                    genome.setdefault(k, []).append(i)
+                population.append(list(genome.values()))
+            best = evolve(lengths, population, capacity, hash((group, island, epoch)))
         order = [(i, k) for k, own in enumerate(best) for i in own]
         n_bins, fitness = _fitness(lengths, best, capacity)
         at = [i for i, _ in order]
@@ -138,6 +145,7 @@ def _epoch(capacity: int, epoch: int):
                 "bin": [k for _, k in order],
                 "n_bins": n_bins,
                 "fitness": fitness,
+                "met": n_bins <= -(-sum(lengths) // capacity),
             }
         )
 
@@ -145,10 +153,19 @@ def _epoch(capacity: int, epoch: int):
 
 
 def _evolved(pieces: DataFrame, capacity: int, groups: int) -> DataFrame:
-    """(group, uid, length, bin) of (uid, length): the best island of each group."""
-    islands = F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island")
+    """(group, uid, length, bin) of (uid, length): the best island of each group.
+
+    Groups that best-fit packs into the least possible number of bins are done; the others evolve on islands.
+    """
+    columns = ["group", "uid", "length", "bin"]
     group = F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("group")
-    state = pieces.select(group, islands, "uid", "length", F.lit(-1).alias("bin"), F.lit(0).alias("origin"))
+    dealt = pieces.select(group, F.lit(0).alias("island"), "uid", "length")
+    fitted = materialise(dealt.groupBy("group", "island").applyInPandas(_epoch(capacity, None), _GENOME), "genomes")
+    open_ = fitted.filter("NOT met")
+    if open_.isEmpty():
+        return fitted.select(*columns)
+    islands = F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island")
+    state = open_.select("group", islands, "uid", "length", "bin", F.lit(0).alias("origin"))
     for epoch in range(EPOCHS):
         best = materialise(state.groupBy("group", "island").applyInPandas(_epoch(capacity, epoch), _GENOME), "genomes")
         own = best.select("group", "island", "uid", "length", "bin", F.lit(0).alias("origin"))
@@ -156,7 +173,7 @@ def _evolved(pieces: DataFrame, capacity: int, groups: int) -> DataFrame:
         state = own.union(best.select("group", moved, "uid", "length", "bin", F.lit(1).alias("origin")))
     rank = F.struct("n_bins", "fitness", "island")
     winner = best.groupBy("group").agg(F.min_by("island", rank).alias("island"))
-    return best.join(winner, ["group", "island"]).select("group", "uid", "length", "bin")
+    return fitted.filter("met").select(*columns).union(best.join(winner, ["group", "island"]).select(*columns))
 
 
 def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from compare import connect, differences
@@ -184,6 +185,39 @@ def test_evolution_beats_best_fit():
     assert len(best) <= len(greedy)
 
 
+def triplets(seed, n=20):
+    """Pieces that fill n bins of 1,000 in threes; best-fit does not find them."""
+    random = packing.Random(seed)
+    pairs = ((random.randrange(380, 490), random.randrange(250, 305)) for _ in range(n))
+    return [x for a, b in pairs for x in (a, b, 1000 - a - b)]
+
+
+def test_evolution_needs_fewer_bins_than_best_fit_in_the_whole_operator(spark):
+    lengths = triplets(0)
+    greedy = packing._place(lengths, [], list(range(len(lengths))), 1000)
+    given = spark.createDataFrame(list(enumerate(lengths)), "uid long, length int")
+    evolved = packing.assign(given, 1000).select("sequence_id").distinct().count()
+    assert 20 <= evolved < len(greedy)
+
+
+def test_generations_need_fewer_bins_than_the_first_population(monkeypatch):
+    evolved = [len(packing.evolve(triplets(seed), [], 1000, seed)) for seed in range(8)]
+    monkeypatch.setattr(packing, "GENERATIONS", 0)
+    monkeypatch.setattr(packing, "PLACEMENTS", 0)
+    first = [len(packing.evolve(triplets(seed), [], 1000, seed)) for seed in range(8)]
+    assert all(e <= f for e, f in zip(evolved, first, strict=True))
+    assert sum(evolved) < sum(first)
+
+
+def test_groups_at_the_lower_bound_do_not_evolve(spark, monkeypatch):
+    epochs = []
+    real = packing._epoch
+    monkeypatch.setattr(packing, "_epoch", lambda capacity, epoch: epochs.append(epoch) or real(capacity, epoch))
+    halves = spark.range(40).select(F.col("id").alias("uid"), F.lit(500).alias("length"))
+    assert packing.assign(halves, 1000).select("sequence_id").distinct().count() == 20
+    assert epochs == [None]
+
+
 TURNS = st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", ""]), st.text(alphabet="a <|\\>turnsaysdone\n é日😀", max_size=30)), max_size=6)
 
 
