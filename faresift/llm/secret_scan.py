@@ -77,6 +77,7 @@ FEATURES = (
     "secret_name_near",
     "harmless_name_near",
     "issued",
+    "harmless_form",
 )
 
 
@@ -120,7 +121,6 @@ def candidates_of(text: str) -> Iterator[dict]:
             "after": end,
             "rule": "issued" if issued else "named" if match["value"] is not None else "bare",
             "value_sha256": hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest(),
-            "harmless": bool(_HARMLESS.fullmatch(value)),
             "x": [
                 float(n),
                 sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / pairs,
@@ -136,6 +136,7 @@ def candidates_of(text: str) -> Iterator[dict]:
                 float(not SECRET_NAMES.isdisjoint(words)),
                 float(not HARMLESS_NAMES.isdisjoint(words)),
                 float(issued),
+                float(bool(_HARMLESS.fullmatch(value))),
             ],
             "parts": _parts(value, 0),
         }
@@ -143,7 +144,7 @@ def candidates_of(text: str) -> Iterator[dict]:
             yield {"first": start, "parts": _parts(value, at)}
 
 
-_FOUND = "first int, after int, rule string, value_sha256 string, harmless boolean, x array<double>"
+_FOUND = "first int, after int, rule string, value_sha256 string, x array<double>"
 _PARTS = "parts array<struct<at:int,size:int,hash:bigint>>"
 
 
@@ -156,7 +157,7 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
 
 def _found_in(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, held_out, first, after, rule, value_sha256, harmless, x, parts): see ``candidates_of``."""
+    """(row, doc_id, held_out, first, after, rule, value_sha256, x, parts): see ``candidates_of``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = StructType([docs.schema["doc_id"]]).add("held_out", "boolean").add("row", "long")
@@ -181,7 +182,7 @@ def _found_in(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, known: frozenset[str] | None = None) -> DataFrame:
-    """(doc_id, held_out, first, after, rule, value_sha256, harmless, x): every candidate of the whole texts.
+    """(doc_id, held_out, first, after, rule, value_sha256, x): every candidate of the whole texts.
 
     ``known`` are the dictionary's words if they are not to be counted.
     The share of a value that dictionary words cover is found by joining the runs of letters in it with the words of
@@ -203,7 +204,7 @@ def candidates(docs: DataFrame, known: frozenset[str] | None = None) -> DataFram
     share = F.coalesce(F.col("hit"), F.lit(0)) / F.get("x", FEATURES.index("length"))
     at = FEATURES.index("dictionary_share")
     filled = F.transform("x", lambda v, i: F.when(i == at, share).otherwise(v)).alias("x")
-    return whole.select("doc_id", "held_out", "first", "after", "rule", "value_sha256", "harmless", filled)
+    return whole.select("doc_id", "held_out", "first", "after", "rule", "value_sha256", filled)
 
 
 def _x(name: str):
@@ -213,7 +214,7 @@ def _x(name: str):
 def rule_labels(found: DataFrame) -> DataFrame:
     """Findings that a rule settles, with label 1 or 0: issued formats and named random values are secrets;
     placeholders, numbers, ids, values of dictionary words and bare values beside harmless names are not."""
-    harmless = F.col("harmless") | (_x("dictionary_share") > 0.6) | ((F.col("rule") == "bare") & (_x("harmless_name_near") == 1))
+    harmless = (_x("harmless_form") == 1) | (_x("dictionary_share") > 0.6) | ((F.col("rule") == "bare") & (_x("harmless_name_near") == 1))
     random = (_x("entropy") >= 2.8) & (_x("digit_share") > 0.05) & (_x("dictionary_share") < 0.3)
     secret = (F.col("rule") == "issued") | ((F.col("rule") == "named") & random)
     bare = (F.col("rule") == "bare") & (_x("secret_name_near") == 0)
@@ -238,8 +239,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
     """One row per candidate: doc_id, held_out, first, after (code points), rule, value_sha256, score, is_secret.
 
     findings: labelled findings (doc_id, first, after, label) to train from, by default those that rules settle
-    outside the held-out fold. A forest that saw no issued format does not judge those: they stay, with
-    score 1. Null and empty texts have no candidate; repeated rows give their candidates again. Values
+    outside the held-out fold. Whether a value looks like a placeholder, number or id is a feature, so given
+    labels decide if it is a secret; without them it never is. A forest that saw no issued format does not judge those: they stay, with score 1. Null and empty texts have no candidate; repeated rows give their candidates again. Values
     never leave as text. Other columns of docs are not read.
     """
     found = materialise(candidates(docs), "judged-candidates")
@@ -255,8 +256,9 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
         scored = model.transform(vectors).withColumn("score", F.get(vector_to_array("probability"), 1))
     if not knows_issued:
         scored = scored.withColumn("score", F.when(F.col("rule") == "issued", 1.0).otherwise(F.col("score")))
-    # Placeholders, numbers and plain ids are no secrets whatever stands beside them.
-    scored = scored.withColumn("score", F.when(F.col("harmless"), 0.0).otherwise(F.col("score")))
+    if findings is None:
+        # No label speaks for placeholders, numbers and plain ids then, so they are no secrets whatever stands beside them.
+        scored = scored.withColumn("score", F.when(_x("harmless_form") == 1, 0.0).otherwise(F.col("score")))
     return scored.select(
         "doc_id", "held_out", "first", "after", "rule", "value_sha256", "score", (F.col("score") >= THRESHOLD).alias("is_secret")
     )

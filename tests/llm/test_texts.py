@@ -392,6 +392,23 @@ def test_issued_formats_stay_where_no_label_covers_them(frame):
     assert got == {99: True}
 
 
+def test_labels_decide_and_hold_on_documents_not_learned_from(spark, frame):
+    """Labels that no built-in rule gives: numbers and random values are secrets after 'vault auth', not after 'build id'."""
+    random = packing.Random(8)
+    value = lambda: random.choice([f"{random.randrange(10**17):017d}", f"{random.getrandbits(80):020x}"])
+    secret = [random.random() < 0.5 for _ in range(300)]
+    docs = frame([(i, f"note {'vault auth' if s else 'build id'} {value()} done", "", 0, 0) for i, s in enumerate(secret)], DOC)
+    found = [r for r in secret_scan.candidates(docs, frozenset()).collect() if r.rule == "bare"]
+    assert len(found) == 300
+    rows = [(r.doc_id, r.first, r.after, int(secret[r.doc_id])) for r in found if not r.held_out]
+    labels = spark.createDataFrame(rows, "doc_id long, first int, after int, label int")
+    held = [(r.is_secret, secret[r.doc_id]) for r in secret_scan.scan(docs, labels).collect() if r.held_out]
+    hit = sum(got and want for got, want in held)
+    assert len(held) > 30 and {want for _, want in held} == {True, False}
+    assert hit >= 0.95 * sum(want for _, want in held)
+    assert hit >= 0.95 * sum(got for got, _ in held)
+
+
 def test_secret_query(spark):
     rows = queries.op3_secret_scan(spark, SMALL).collect()
     assert all(0 <= r.score <= 1 and r.first < r.after for r in rows)
