@@ -62,7 +62,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_whole_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op7_line_dedup with chunks from every line, as the pipeline has it; its SQL has boundaries and stays as it is."""
+    """op7_line_dedup with chunks from every line, as the pipeline has it."""
     found = line_dedup.without_repeats(table(spark, sf_dir, "documents"), whole=True)
     return found.select("row.doc_id", "text", "n_lines", "removed_lines")
 
@@ -356,6 +356,38 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, t.text, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
             CAST(coalesce(removed_lines, 0) AS INT) AS removed_lines
         FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
+    "op7_whole_passages": r"""
+        WITH w AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM documents WHERE text IS NOT NULL
+        ), n AS (
+            SELECT *, sum(words) OVER o AS upto, row_number() OVER o AS k
+            FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM w) WHERE words > 0
+            WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ), p AS (
+            SELECT a.doc_id, a.i AS first, z.i AS last
+            FROM n a JOIN n z ON a.doc_id = z.doc_id AND z.k BETWEEN a.k AND a.k + 49 AND z.upto - a.upto + a.words >= 50
+        ), s AS (
+            SELECT doc_id, first, min(last) AS last FROM p GROUP BY doc_id, first
+            UNION
+            SELECT doc_id, max(first), last FROM p GROUP BY doc_id, last
+        ), k AS (
+            SELECT s.doc_id, first, last, string_agg(line, chr(10) ORDER BY i) AS body
+            FROM s JOIN w ON s.doc_id = w.doc_id AND i BETWEEN first AND last GROUP BY ALL
+        ), r AS (
+            SELECT doc_id, first, last, row_number() OVER (PARTITION BY body ORDER BY doc_id, first, last) AS nth FROM k
+        ), g AS (
+            SELECT w.doc_id, w.i, line, bool_or(coalesce(nth > 1, false)) AS gone
+            FROM w LEFT JOIN r ON r.doc_id = w.doc_id AND w.i BETWEEN first AND last GROUP BY ALL
+        ), t AS (
+            SELECT doc_id, count(*) AS n_lines, sum(CAST(gone AS INT)) AS removed_lines,
+                coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
+            FROM g GROUP BY doc_id
+        )
+        SELECT d.doc_id, t.text, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
+            CAST(coalesce(removed_lines, 0) AS INT) AS removed_lines
+        FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id""",
     "op11_merkle": merkle_sql(),
     "op12_url_filter": URL_SQL,
     "op13_hard_negatives": """

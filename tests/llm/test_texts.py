@@ -30,6 +30,12 @@ def test_line_query_matches_sql(spark):
     assert differences(df, connect(SMALL), queries.ORACLE_SQL["op7_line_dedup"]) == []
 
 
+@pytest.mark.parametrize("folder", [SMALL, "/root/testdata/sf0.01"])
+def test_whole_passages_match_sql(spark, folder):
+    df = queries.op7_whole_passages(spark, folder)
+    assert differences(df, connect(folder), queries.ORACLE_SQL["op7_whole_passages"]) == []
+
+
 def test_repeated_passages_stay_once(frame):
     a, b, short = passage("a"), passage("b"), "a short line"
     verse = "\n".join(passage(f"v{k}", 10) for k in range(6))
