@@ -104,7 +104,7 @@ def _removed(met: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "body_hash", "first", "last")
     stays = materialise(met.groupBy("k1", "k2").agg(F.min(place).alias("stays")), "first-chunks")
     lost = met.join(stays, ["k1", "k2"]).filter(place != F.col("stays"))
-    return lost.groupBy("doc_id", "body_hash").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    return lost.groupBy("doc_id", "body_hash").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def _all_chunks(docs: DataFrame, min_words: int) -> DataFrame:
