@@ -5,7 +5,11 @@ seen once cannot show by repetition. An article keeps all that no role drops: se
 content. Of the other text, and of pages without an article, whatever the host's pages repeat is cut: long runs of
 words, found by sorting the suffixes of all blocks, and whole blocks.
 Copies and near copies of a page count as one page, so their own text is no repetition, and what counts as repeated
-grows with the number of different pages. Large hosts are cut into blocks of pages by hash.
+grows with the number of different pages.
+
+``main_texts`` is this rule over the pages of one host in memory. ``extract`` gives the same texts for hosts of any size: suffix
+arrays over some pages each count their runs, the counts are summed per host, and near copies are linked by joins.
+Neither the size of a host nor the dealing of its pages decides a result.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from faresift.llm.common import materialise
+from faresift.llm.graph import components
 
 # Words of a short run (told apart in near copies) and of a run that is cut; different pages it must stand on, at least and as a share of the host's; covered share of a page from which it
 # may be a near copy, and the share of short runs that near copies have in common.
@@ -33,7 +39,7 @@ RUN_PAGES = 2
 PAGE_SHARE = 0.05
 COVERED = 0.5
 NEAR = 0.8
-# Bytes of pages that one suffix array is built over.
+# Characters of text that one suffix array is built over: a bound on memory, of no effect on results.
 HOST_BYTES = 2_000_000
 
 # HTML elements by what they do.
@@ -318,51 +324,233 @@ def main_texts(pages: list[str | None]) -> list[str]:
     return [texts[k] for k in place]
 
 
-def _host_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of one host and block after the other, from sorted rows."""
-    held: list[pa.RecordBatch] = []
-    current = None
-    for batch in batches:
-        keys = list(zip(batch.column(0).to_pylist(), batch.column(4).to_pylist(), strict=True))
-        start = 0
-        for i, key in enumerate(keys):
-            if key != current:
-                if i > start:
-                    held.append(batch.slice(start, i - start))
-                if held:
-                    yield pa.Table.from_batches(held)
-                held, start, current = [], i, key
-        if len(keys) > start:
-            held.append(batch.slice(start))
-    if held:
-        yield pa.Table.from_batches(held)
+PARSED = "host string, content string, blocks array<struct<text string, article boolean>>, outside boolean"
+PLACES = "array<struct<content string, start int, size int>>"
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """One row per row of pages: page_id, url, text, n_chars.
+def _digest(kind: bytes, host: str, words: list[str], size: int) -> bytes:
+    return blake2b(f"{len(host)} {host} {' '.join(words)}".encode(), digest_size=size, person=kind).digest()
 
-    Null html has empty text; a null or odd url counts as one host of its own name. Repeated rows are kept,
-    each with its text. Other columns are not read.
-    """
+
+def _key(kind: bytes, host: str, words: list[str]) -> int:
+    """64 bits that tell the runs, or the blocks, of a host apart."""
+    return int.from_bytes(_digest(kind, host, words, 8), "little", signed=True)
+
+
+def _parse(pages: DataFrame) -> DataFrame:
+    """Per row of pages: page_id, url, host, digest of its blocks that no role drops, these, whether one is outside articles."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))).alias("host")
-    rows = pages.select(host, "page_id", "url", "html")
-    # Blocks of a host depend on its pages alone: rows of one host and block always lie in one range, and pages move once.
-    large = rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes")).filter(F.col("bytes") > HOST_BYTES)
-    large = large.select("host", F.ceil(F.col("bytes") / HOST_BYTES).alias("blocks"))
-    large = materialise(large, "large-hosts")
-    block = F.coalesce(F.pmod(F.xxhash64("page_id", "url"), "blocks"), F.lit(0)).alias("block")
-    rows = rows.join(large, "host", "left").select("host", "page_id", "url", "html", block)
-    dealt = rows.repartitionByRange("host", "block").sortWithinPartitions("host", "block", "page_id", "url")
-    schema = StructType([pages.schema["page_id"], pages.schema["url"]]).add("text", "string").add("n_chars", "long")
+    own = StructType([pages.schema["page_id"], pages.schema["url"]])
+    schema = StructType([*own.fields, *StructType.fromDDL(PARSED).fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own in _host_blocks(batches):
-            texts = main_texts(own.column(3).to_pylist())
-            columns = [own.column(1).combine_chunks(), own.column(2).combine_chunks(), pa.array(texts, pa.string())]
-            columns.append(pa.array([len(t) for t in texts], pa.int64()))
+        for batch in batches:
+            hosts, found = batch.column(2).to_pylist(), []
+            for host, page in zip(hosts, batch.column(3), strict=True):
+                blocks = [(b.text, b.article) for b in blocks_of(page.as_py()) if not b.dropped]
+                content = _digest(b"page", host, [f"{len(text)} {article} {text}" for text, article in blocks], 16).hex()
+                outside = not all(article for _, article in blocks)
+                found.append((content, [{"text": t, "article": a} for t, a in blocks], outside))
+            columns = [batch.column(0), batch.column(1), batch.column(2)]
+            columns += [pa.array([f[i] for f in found], arrow.field(3 + i).type) for i in range(3)]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
+    return pages.select("page_id", "url", host, "html").mapInArrow(run, schema)
+
+
+def _words(blocks: list[dict]) -> list[tuple[list[str], bool]]:
+    return [(b["text"].split(), b["article"]) for b in blocks]
+
+
+def _runs(host: str, ids: list[str], contents: list[list[tuple[list[str], bool]]]) -> pa.Table:
+    """(run, pages, places): each run of LONG_WORDS words, by the suffix array of these contents, and each whole block.
+
+    ``pages`` counts the contents that have it. A place is the first word in its content and the number of words that
+    go if it is repeated: none for a whole block of an article, which only counts.
+    """
+    streams = [words for blocks in contents for words, _ in blocks]
+    page = np.repeat(np.arange(len(contents)), [len(blocks) for blocks in contents])
+    rank, lengths = _starts(streams, LONG_WORDS)
+    begin = np.cumsum(lengths) - lengths
+    sizes = lengths - 1
+    words_of = np.bincount(page, sizes, len(contents)).astype(np.int64)
+    first = np.cumsum(sizes) - sizes - (np.cumsum(words_of) - words_of)[page]
+    inside = np.arange(len(rank)) - np.repeat(begin, lengths)
+    full = np.flatnonzero(inside + LONG_WORDS <= np.repeat(sizes, lengths))
+    full = full[np.argsort(rank[full], kind="stable")]
+    owner, start = np.repeat(page, lengths)[full], (inside + np.repeat(first, lengths))[full]
+    heads = np.flatnonzero(np.diff(rank[full], prepend=-1))
+    stream = np.repeat(np.arange(len(streams)), lengths)[full[heads]]
+    keys = [_key(b"run", host, streams[s][i : i + LONG_WORDS]) for s, i in zip(stream.tolist(), inside[full[heads]].tolist(), strict=True)]
+
+    whole: dict[tuple[str, ...], list[int]] = {}
+    for k, words in enumerate(streams):
+        whole.setdefault(tuple(words), []).append(k)
+    held = np.array([k for own in whole.values() for k in own], np.int64)
+    article = np.array([a for blocks in contents for _, a in blocks], bool)
+    keys += [_key(b"block", host, list(words)) for words in whole]
+    ends = np.cumsum([len(own) for own in whole.values()]) + len(full)
+    offsets = np.concatenate([heads, [len(full)], ends])
+    owner = np.concatenate([owner, page[held]])
+    start = np.concatenate([start, first[held]])
+    size = np.concatenate([np.full(len(full), LONG_WORDS), np.where(article, 0, sizes)[held]])
+    pages = [len(set(owner[x:y].tolist())) if y - x > 1 else 1 for x, y in zip(offsets, offsets[1:])]
+    names = pa.array(ids, pa.string()).take(pa.array(owner))
+    fields = [names, pa.array(start, pa.int32()), pa.array(size, pa.int32())]
+    places = pa.StructArray.from_arrays(fields, ["content", "start", "size"])
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)
+    return pa.table([pa.array(keys, pa.int64()), pa.array(pages, pa.int64()), lists], ["run", "pages", "places"])
+
+
+def _run_counts(contents: DataFrame) -> DataFrame:
+    """(run, pages, places) of suffix arrays over up to HOST_BYTES of the contents of one host; see ``_runs``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = f"run long, pages long, places {PLACES}"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, size, ids, held = "", 0, [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (row["host"] != host or size > HOST_BYTES):
+                    yield from _runs(host, ids, held).cast(arrow).to_batches()
+                    size, ids, held = 0, [], []
+                host = row["host"]
+                ids.append(row["content"])
+                held.append(_words(row["blocks"]))
+                size += sum(len(b["text"]) for b in row["blocks"])
+        if held:
+            yield from _runs(host, ids, held).cast(arrow).to_batches()
+
+    dealt = contents.filter(F.size("blocks") > 0).select("host", "content", "blocks").repartitionByRange("host", "content").sortWithinPartitions("host", "content")
     return dealt.mapInArrow(run, schema)
+
+
+def _marks(places: list[dict], n: int) -> np.ndarray:
+    """Per word of a content of n words whether a place covers it."""
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, [p["start"] for p in places], 1)
+    np.add.at(steps, [p["start"] + p["size"] for p in places], -1)
+    return np.cumsum(steps)[:n] > 0
+
+
+def _suspects(contents: DataFrame, hits: DataFrame) -> DataFrame:
+    """(content, shingles): contents that repeats cover to COVERED, with their different short runs."""
+    schema = "content string, shingles array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                words = [w for own, _ in _words(row["blocks"]) for w in own]
+                if _marks(row["places"], len(words)).sum() >= COVERED * len(words):
+                    starts = range(max(1, len(words) - RUN_WORDS + 1))
+                    found.append((row["content"], sorted({_key(b"near", row["host"], words[i : i + RUN_WORDS]) for i in starts})))
+            columns = [pa.array([c for c, _ in found], pa.string()), pa.array([s for _, s in found], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["content", "shingles"])
+
+    places = hits.filter("size > 0").groupBy("content").agg(F.collect_set(F.struct("start", "size")).alias("places"))
+    return contents.join(places, "content").select("host", "content", "blocks", "places").mapInArrow(run, schema)
+
+
+def _alike(pairs: DataFrame, suspects: DataFrame) -> DataFrame:
+    """The pairs (x, y) of contents that have NEAR of the larger one's short runs in common."""
+    x = suspects.select(F.col("content").alias("x"), F.col("shingles").alias("of_x"))
+    y = suspects.select(F.col("content").alias("y"), F.col("shingles").alias("of_y"))
+    larger = F.greatest(F.size("of_x"), F.size("of_y"))
+    near = F.size(F.array_intersect("of_x", "of_y")) >= F.lit(NEAR) * larger
+    return pairs.distinct().join(x, "x").join(y, "y").filter(near).select("x", "y")
+
+
+def _near_roots(suspects: DataFrame) -> DataFrame:
+    """(node, root): the components of near copies, as ``_near_copies`` finds them.
+
+    Near copies share one of the rarest runs of each: one more than either may lack; runs of one content alone are
+    no candidates. First the contents of such a run are compared with the least one of them alone, then those that this
+    leaves in different components with each other. So a group of like pages costs no pairs; the number of
+    pairs is quadratic only in contents that share their rarest runs and are no near copies.
+    """
+    each = suspects.select("content", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    rarest = F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared")
+    shared = each.join(often, "shingle").groupBy("content").agg(rarest, F.first("n").alias("n"))
+    enough = F.greatest(F.lit(0), F.size("shared") - F.ceil(F.lit(NEAR) * F.col("n")).cast("int") + 1)
+    rare = shared.select("content", F.explode(F.slice("shared", F.lit(1), enough)).alias("rare"))
+    rare = materialise(rare.select("content", F.col("rare.shingle").alias("shingle")), "page-rare-runs")
+    least = rare.groupBy("shingle").agg(F.min("content").alias("y"))
+    pairs = rare.join(least, "shingle").filter("content <> y").select(F.col("content").alias("x"), "y")
+    links = materialise(_alike(pairs, suspects), "page-links")
+    roots = components(links, "x", "y")
+    rooted = rare.join(roots.withColumnRenamed("node", "content"), "content", "left")
+    rooted = rooted.select("shingle", "content", F.coalesce("root", "content").alias("root"))
+    mixed = rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    rooted = rooted.join(mixed.select("shingle"), "shingle")
+    x = rooted.select("shingle", F.col("content").alias("x"), F.col("root").alias("root_x"))
+    y = rooted.select("shingle", F.col("content").alias("y"), F.col("root").alias("root_y"))
+    more = materialise(_alike(x.join(y, "shingle").filter("root_x < root_y").select("x", "y"), suspects), "page-links")
+    return roots if more.isEmpty() else components(links.union(more), "x", "y")
+
+
+def _cuts(contents: DataFrame) -> DataFrame:
+    """(content, places): what ``boilerplate`` finds, over contents of any number of hosts of any size."""
+    counted = materialise(_run_counts(contents), "page-runs")
+    repeated = counted.groupBy("run").agg(F.sum("pages").alias("pages")).filter(F.col("pages") >= RUN_PAGES).select("run")
+    hits = materialise(counted.join(repeated, "run").select("run", F.inline("places")), "page-repeats")
+    suspects = materialise(_suspects(contents, hits), "page-suspects")
+    roots = _near_roots(suspects).withColumnRenamed("node", "content")
+    owners = contents.select("host", "content").join(roots, "content", "left")
+    owners = materialise(owners.select("host", "content", F.coalesce("root", "content").alias("owner")), "page-owners")
+    share = F.ceil(F.lit(PAGE_SHARE) * F.count_distinct("owner"))
+    least = owners.groupBy("host").agg(F.greatest(F.lit(RUN_PAGES), share).alias("least"))
+    held = hits.join(owners, "content").groupBy("host", "run").agg(F.count_distinct("owner").alias("owners"))
+    cut = held.join(least, "host").filter("owners >= least").select("run")
+    places = F.collect_set(F.struct("start", "size")).alias("places")
+    return hits.filter("size > 0").join(cut, "run").groupBy("content").agg(places)
+
+
+def _main_text(blocks: list[dict], places: list[dict]) -> str:
+    words = _words(blocks)
+    cover = _marks(places, sum(len(own) for own, _ in words))
+    covers = np.split(cover, np.cumsum([len(own) for own, _ in words])[:-1])
+    left = [own if article else _left(own, c) for (own, article), c in zip(words, covers, strict=True)]
+    return "\n\n".join(" ".join(own) for own in left if own)
+
+
+def _left_texts(pages: DataFrame) -> DataFrame:
+    """page_id, url, text of pages with their blocks and the places to cut, null for none."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = StructType([pages.schema["page_id"], pages.schema["url"]]).add("text", "string")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_main_text(b, p or []) for b, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return pages.mapInArrow(run, schema)
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """One row per row of pages: page_id, url, text, n_chars.
+
+    Null html has empty text; a null or odd url counts as one host of its own name. Repeated rows are kept,
+    each with its text. Other columns are not read. Pages are parsed once; hosts whose pages have no text outside
+    articles have nothing to cut and cost no more than that.
+    """
+    parsed = materialise(_parse(pages), "parsed-pages")
+    text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n\n")
+    texts = parsed.filter(~F.col("outside")).select("page_id", "url", text.alias("text"))
+    hosts = parsed.filter("outside").select("host").distinct()
+    if not hosts.isEmpty():
+        contents = parsed.join(hosts, "host", "left_semi").select("host", "content", "blocks").dropDuplicates(["content"])
+        cuts = _cuts(materialise(contents, "page-contents"))
+
+        cut = parsed.filter("outside").join(cuts, "content", "left").select("page_id", "url", "blocks", "places")
+        texts = texts.unionByName(_left_texts(cut))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -1,7 +1,8 @@
 """Line chunks, packing, chat formatting, page extraction and secrets."""
 
-import time
 import hashlib
+import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -357,6 +358,58 @@ def test_page_query_and_edges(spark, frame):
     assert extraction.extract(pages.limit(0)).count() == 0
 
 
+def _site(seed):
+    """Pages of three hosts: own words, phrases, notices and runs that some share, copies and near copies, articles or none."""
+    rng = random.Random(seed)
+    rows = []
+    for h, n in enumerate((70, 25, 2)):
+        rare = [passage(f"h{h}rare{k}w", 14) for k in range(n // 5 + 1)]
+        for i in range(n):
+            own = [passage(f"h{h}p{i}b{b}w", rng.choice((3, 15, 40))) for b in range(rng.randint(1, 3))]
+            parts = [f"<p>{o}</p>" for o in own]
+            parts += [f"<p>{rng.choice(rare)} {own[0]}</p>"] * (rng.random() < 0.5)
+            parts += ["<div>Welcome to our shared site today</div>"] * (rng.random() < 0.6)
+            parts += [f"<div>{passage('notice', 30)}</div>"] * (rng.random() < 0.5)
+            rng.shuffle(parts)
+            if rng.random() < 0.4:
+                parts = [f"<article>{parts[0]}</article>", *parts[1:]]
+            page = "<body>" + "".join(parts)
+            copies = [page] * rng.choice((1, 1, 1, 2))
+            copies += [page + f"<p>more {k} of {i}</p>" for k in range(rng.choice((0, 0, 1, 3)))]
+            rows += [(f"http://h{h}/", c) for c in copies]
+    rng.shuffle(rows)
+    return [(k, url, page) for k, (url, page) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("size", [1, 3000, 2_000_000])
+def test_texts_do_not_depend_on_the_size_of_suffix_arrays(frame, monkeypatch, size):
+    monkeypatch.setattr(extraction, "HOST_BYTES", size)
+    rows, want = _site(3), {}
+    for host in {url for _, url, _ in rows}:
+        own = [(k, page) for k, url, page in rows if url == host]
+        want |= dict(zip([k for k, _ in own], extraction.main_texts([page for _, page in own])))
+    whole = {k: "\n\n".join(b.text for b in extraction.blocks_of(page) if not b.dropped) for k, _, page in rows}
+    assert sum(want[k] != whole[k] for k in want) > 30
+    got = {r.page_id: r.text for r in extraction.extract(frame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_near_copies_are_linked_as_in_memory(frame):
+    rng = random.Random(5)
+    texts = [passage(f"t{i}w", 40).split() for i in range(12)]
+    contents = []
+    for words in texts:
+        for _ in range(6):
+            words = [w if rng.random() > 0.03 else f"x{rng.randint(0, 99)}" for w in words]
+            contents.append([(list(words), False)])
+    want = extraction._near_copies(contents, list(range(len(contents))))
+    assert len(set(want)) < len(contents) - 12 and len(set(want)) > 12
+    shingles = [sorted({hash(tuple(w[i : i + 4])) for i in range(len(w) - 3)}) for [(w, _)] in contents]
+    rows = [(f"{k:03}", own) for k, own in enumerate(shingles)]
+    roots = {r.node: r.root for r in extraction._near_roots(frame(rows, "content string, shingles array<long>")).collect()}
+    assert [int(roots.get(f"{k:03}", f"{k:03}")) for k in range(len(contents))] == want
+
+
 def test_hosts_are_dealt_into_bounded_blocks(frame, monkeypatch):
     monkeypatch.setattr(extraction, "HOST_BYTES", 2000)
     rows = [(i, "http://hot/x", f"<body><div>Welcome to our shared site today</div><p>own {i} words {i} page {i}</p>") for i in range(200)]
