@@ -131,7 +131,8 @@ def transform_many(
     ``df`` carries ``source_file`` next to the trip columns; ``periods`` names the ``reporting_year`` and
     ``reporting_month`` of each source file. It is brought to one row per file, and a file with two
     periods fails the query, as does a trip of an unlisted file; so no trip is ever multiplied or lost.
-    Spark broadcasts the lookup while it is small, and then no trip is shuffled.
+    The lookup is broadcast: it has one short row per source file, and a join by shuffle would bring all trips of a
+    file to one task.
     """
     period = F.collect_set(F.struct("reporting_year", "reporting_month"))
     twice = F.raise_error(F.concat(F.lit("Several reporting periods for "), F.col("source_file")))
@@ -144,7 +145,7 @@ def transform_many(
     bounds = period_bounds(F.col("p.reporting_year"), F.col("p.reporting_month"))
     lookup = single.select("source_file", *[c.alias(n) for n, c in bounds.items()])
     unlisted = F.raise_error(F.concat(F.lit("No reporting period for "), F.col("source_file"))).cast("timestamp_ntz")
-    dated = df.join(lookup, "source_file", "left")
+    dated = df.join(F.broadcast(lookup), "source_file", "left")
     return split_trips(
         dated,
         F.col("reporting_start"),

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from faresift.session import hadoop_path
 
 HALVES = ("processed", "rejected")
+# Files a task keeps open while it writes a half. Spark deals at most 32 files to a task (128 MB, each counted 4 MB larger).
+OPEN_FILES = 32
 QUALITY_SCHEMA = "metric string, count bigint, percentage_of_raw double"
 
 
@@ -128,12 +130,20 @@ def write_empty(spark: SparkSession, like: DataFrame, path: str) -> str:
 
 
 def write_half(half: DataFrame, path: str) -> None:
-    """Write one half with a folder per source file, without a shuffle.
+    """Write one half with a folder per source file, without a shuffle and without a sort.
 
     A task only writes the rows it read, so a month of any size is written by as many tasks as
-    read it. The folder column is a copy: ``source_file`` itself stays in the files.
+    read it, each with a file open per source it meets. Only a task that meets more than OPEN_FILES sorts the rest of
+    its rows by source, as Spark would sort all rows of every task. The folder column is a copy: ``source_file``
+    itself stays in the files.
     """
-    half.withColumn("_source", F.col("source_file")).write.partitionBy("_source").parquet(path)
+    conf, name = half.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name, "0")
+    conf.set(name, str(max(int(before), OPEN_FILES)))
+    try:
+        half.withColumn("_source", F.col("source_file")).write.partitionBy("_source").parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 def source_folder(path: str, source_file: str) -> str:

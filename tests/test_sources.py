@@ -1,8 +1,12 @@
 """Reading, lineage, writing, landing and the two cleaning jobs on real files."""
 
+import json
 import os
+import subprocess
+import sys
 import time
 from datetime import datetime
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -217,6 +221,42 @@ def test_clean_months_equals_month_by_month(spark, tmp_path):
             assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
+CLEAN = """
+import sys
+from pyspark.sql import SparkSession
+sys.path.insert(0, sys.argv[1])
+from faresift.plans.clean import clean_months
+folder = sys.argv[2]
+logged = {"spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.compress": "false", "spark.eventLog.dir": f"file://{folder}/log"}
+spark = SparkSession.builder.master("local[2]").config(map=logged | {"spark.sql.session.timeZone": "UTC"}).getOrCreate()
+clean_months(spark, f"{folder}/raw", f"{folder}/out", "2025-01-01 00:00:00")
+assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+spark.stop()
+"""
+
+
+def test_halves_are_written_without_shuffle_or_sort_in_a_plain_session(tmp_path):
+    for name in ("raw", "log"):
+        (tmp_path / name).mkdir()
+    save(tmp_path / "raw" / JAN, {}, {S.PICKUP: None})
+    save(tmp_path / "raw" / FEB, in_february(), {S.PICKUP: None})
+    root = str(Path(__file__).resolve().parent.parent)
+    subprocess.run([sys.executable, "-c", CLEAN, root, str(tmp_path)], check=True, capture_output=True, timeout=300)
+    # The last plan of each execution, by its number.
+    plans = {}
+    for log in (tmp_path / "log").rglob("events_*"):
+        for event in map(json.loads, log.read_text().splitlines()):
+            if "physicalPlanDescription" in event:
+                plans[event["executionId"]] = event["physicalPlanDescription"]
+    writes = [p for p in plans.values() if "InsertIntoHadoopFsRelationCommand" in p and "_source" in p and "Parquet" in p]
+    assert len(writes) == 2
+    for plan in writes:
+        final = plan.partition("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" in final
+        assert "SortMergeJoin" not in plan
+        assert "Sort (" not in final and "Sort [" not in final
+
+
 def test_clean_months_without_any_rejects(spark, tmp_path):
     save(tmp_path / JAN, {})
     out = str(tmp_path / "out")
